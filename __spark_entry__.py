@@ -290,10 +290,12 @@ def snapshot_to_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order and line number are not unique in this table: the line shipped last is kept."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("_id"), "*"
     )
-    restored = indexed(lines, "lineitem", LINEITEM, 7).documents()
+    newest = ["l_shipdate", "l_partkey", "l_suppkey"]
+    restored = indexed(lines, "lineitem", LINEITEM, 7, order_by=newest).documents()
     return restored.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum(F.col("fields.l_quantity").cast("decimal(18,2)")).cast("double").alias("sum_qty"),
@@ -607,11 +609,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT _id, shard, upper(s_name) AS title
             FROM supplier JOIN routed ON _id = {_id("s_suppkey")}""",
         "snapshot_lineitem": f"""
-            WITH {_routed("SELECT l_orderkey || '-' || l_linenumber AS _id FROM lineitem", 7)}
+            WITH {_routed("SELECT l_orderkey || '-' || l_linenumber AS _id FROM lineitem", 7)},
+            newest AS (
+                SELECT * FROM lineitem QUALIFY row_number() OVER (
+                    PARTITION BY l_orderkey, l_linenumber
+                    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1
+            )
             SELECT shard, count(*) AS n_docs,
                    sum(l_quantity::DECIMAL(18, 2))::DOUBLE AS sum_qty,
                    max(l_shipdate)::DATE AS last_shipdate
-            FROM lineitem JOIN routed ON _id = l_orderkey || '-' || l_linenumber GROUP BY shard""",
+            FROM newest JOIN routed ON _id = l_orderkey || '-' || l_linenumber GROUP BY shard""",
         "snapshot_manifest": f"""
             WITH {_routed(_ids("nation", "n_nationkey"), 8)}
             SELECT 'nation' AS index_name, 'snap' AS snapshot, 0 AS generation, 8 AS num_shards,

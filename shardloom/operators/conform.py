@@ -11,7 +11,10 @@ are cut off, booleans are no numbers, and arrays or objects fit no scalar field.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+import itertools
+from collections.abc import Callable, Collection, Mapping
+from dataclasses import dataclass
+from dataclasses import field as dataclass_field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +31,7 @@ from shardloom.mapping import (
     is_object,
     properties_of,
 )
-from shardloom.operators.documents import column
-
-VARIANT_MAP = "map<string,variant>"
+from shardloom.operators.documents import NOT_AN_OBJECT, column
 
 # Where a value can fail to fit: dotted path and the condition that it does.
 Misfits = list[tuple[str, Column]]
@@ -43,68 +44,217 @@ class StrictMappingError(ValueError):
 # --- JSON sources -------------------------------------------------------------------------
 
 
-def source_fields(df: DataFrame, source: str = "source", output: str = "__fields") -> DataFrame:
-    """Add the top-level members of a JSON source as MAP<STRING, VARIANT>."""
-    parsed = F.variant_get(F.parse_json(F.col(source)), "$", VARIANT_MAP)
-    return df.withColumn(output, parsed)
+@dataclass
+class _Object:
+    """One declared object of the mapping and the columns that hold its value.
 
+    ``variant`` is the value, ``keys`` its member names (NULL if it is no object), ``members``
+    a STRUCT of the declared members: text for scalars, variants for objects.
+    """
 
-def _members(value: Column) -> Column:
-    """The members of a variant that is an object, else NULL."""
-    return F.try_variant_get(value, "$", VARIANT_MAP)
+    number: int
+    prefix: str
+    properties: Mapping[str, Any]
+    children: dict[str, _Object] = dataclass_field(default_factory=dict)
 
+    def name(self, what: str) -> str:
+        return f"__json_{what}_{self.number}"
 
-def _undeclared_paths(fields: Column, properties: Mapping[str, Any], prefix: str = "") -> Column:
-    """Array of the dotted paths present in ``fields`` but not declared."""
-    declared = F.lit(list(properties)) if properties else F.array().cast("array<string>")
-    extra = F.array_except(F.map_keys(fields), declared)
-    found = F.transform(extra, lambda name: F.concat(F.lit(prefix), name)) if prefix else extra
-    found = F.coalesce(found, F.array().cast("array<string>"))
-    nested = [
-        _undeclared_paths(_members(fields[name]), properties_of(spec, name), f"{prefix}{name}.")
-        for name, spec in properties.items()
-        if is_object(spec)
-    ]
-    return F.concat(found, *nested) if nested else found
+    def typed_name(self, field: str) -> str:
+        return f"{self.name('typed')}_{list(self.properties).index(field)}"
 
+    @property
+    def keys(self) -> Column:
+        return F.col(self.name("keys"))
 
-def undeclared_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:
-    """Report: ``(field, n_docs)`` for each undeclared field of JSON sources."""
-    paths = _undeclared_paths(F.col("__fields"), declared_properties(mapping))
-    return (
-        source_fields(docs)
-        .select(F.explode(paths).alias("field"))
-        .groupBy("field")
-        .agg(F.count(F.lit(1)).alias("n_docs"))
+    @property
+    def variant(self) -> Column:
+        return F.col(self.name("variant"))
+
+    def member(self, field: str) -> Column:
+        return F.col(self.name("members")).getField(field)
+
+    def member_variant(self, field: str) -> Column:
+        one = _struct_type({field: "variant"})
+        return F.try_variant_get(self.variant, "$", one).getField(field)
+
+    def scalars(self) -> list[str]:
+        return [name for name in self.properties if name not in self.children]
+
+
+def _struct_type(members: Mapping[str, str]) -> str:
+    quoted = [f"`{name.replace('`', '``')}`:{dtype}" for name, dtype in members.items()]
+    return f"struct<{','.join(quoted)}>"
+
+
+def _levels(properties: Mapping[str, Any]) -> list[list[_Object]]:
+    """The declared objects by depth, the root first."""
+    numbers = itertools.count()
+    levels = [[_Object(next(numbers), "", properties)]]
+    while levels[-1]:
+        below = []
+        for parent in levels[-1]:
+            for name, spec in parent.properties.items():
+                if is_object(spec):
+                    path = parent.prefix + name
+                    child = _Object(next(numbers), f"{path}.", properties_of(spec, path))
+                    parent.children[name] = child
+                    below.append(child)
+        levels.append(below)
+    return levels[:-1]
+
+
+def _read_members(docs: DataFrame, levels: list[list[_Object]]) -> DataFrame:
+    """Parse each source once and add the columns of every declared object.
+
+    Each depth is a projection of its own, so that nothing is parsed or looked up again by
+    the expressions that use it.
+    """
+    root = levels[0][0]
+    out = docs.withColumn(root.name("variant"), F.try_parse_json("source"))
+    for level in levels:
+        found = {}
+        for node in level:
+            members = F.try_variant_get(node.variant, "$", "map<string,variant>")
+            found[node.name("keys")] = F.map_keys(members)
+            if node.properties:
+                types = {
+                    name: "variant" if name in node.children else "string"
+                    for name in node.properties
+                }
+                found[node.name("members")] = F.try_variant_get(
+                    node.variant, "$", _struct_type(types)
+                )
+        out = out.withColumns(found)
+        below = {
+            child.name("variant"): node.member(name)
+            for node in level
+            for name, child in node.children.items()
+        }
+        out = out.withColumns(below) if below else out
+    return out
+
+
+def _undeclared(levels: list[list[_Object]]) -> Column:
+    """Array of the dotted paths that are present but not declared."""
+    none = F.array().cast("array<string>")
+    found = []
+    for node in itertools.chain.from_iterable(levels):
+        declared = F.lit(list(node.properties)) if node.properties else none
+        extra = F.coalesce(F.array_except(node.keys, declared), none)
+        if node.prefix:
+            extra = F.transform(extra, _prepend(node.prefix))
+        found.append(extra)
+    return F.concat(*found) if len(found) > 1 else found[0]
+
+
+def _prepend(prefix: str) -> Callable[[Column], Column]:
+    return lambda name: F.concat(F.lit(prefix), name)
+
+
+def _from_text(node: _Object, name: str) -> Column:
+    """Typed value of a scalar field from its text; NULL if it does not fit.
+
+    Most values are settled by their text.  Where the text of a string and of another JSON type
+    look the same, the type is looked up, but only then.
+    """
+    spec, text = node.properties[name], node.member(name)
+    declared, dtype = spec["type"], field_type(spec, node.prefix + name)
+    kind = F.schema_of_variant(node.member_variant(name))
+    if declared in STRINGS:
+        doubtful = text.startswith("{") | text.startswith("[")
+        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        return F.when(~doubtful, text).when(~nested, text)
+    if declared == "boolean":
+        return F.when(text.isin("true", "false"), text == "true")
+    if declared == "date":
+        return _date_from_text(text)
+    plain = text.try_cast(dtype)
+    if declared in REAL_NUMBERS:
+        return plain
+    fraction = ~kind.isin("STRING", "BOOLEAN")
+    cut = F.try_variant_get(node.member_variant(name), "$", dtype.simpleString())
+    return F.when(text.isNull() | plain.isNotNull(), plain).when(fraction, cut)
+
+
+def _date_from_text(text: Column) -> Column:
+    """An ISO date or time, a year, or milliseconds since 1970 (any whole number but a year)."""
+    millis = text.rlike(r"^-?\d+$") & (F.length(text) != 4)
+    iso = F.when(text.rlike(r"^\d{4}"), text.try_cast("timestamp"))
+    return F.when(millis, F.timestamp_millis(text.try_cast("bigint"))).otherwise(iso)
+
+
+def _typed_columns(docs: DataFrame, levels: list[list[_Object]]) -> DataFrame:
+    return docs.withColumns(
+        {
+            node.typed_name(name): _from_text(node, name)
+            for node in itertools.chain.from_iterable(levels)
+            for name in node.scalars()
+        }
     )
 
 
-def reject_undeclared_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:
-    """Documents unchanged; evaluating the source of one with an undeclared field fails."""
-    paths = _undeclared_paths(F.col("__fields"), declared_properties(mapping))
-    guard = F.when(F.size(paths) > 0, _undeclared_error(paths)).otherwise(F.lit(True))
-    checked = source_fields(docs)
-    return checked.withColumn("source", F.when(guard, F.col("source"))).drop("__fields")
+def _typed_struct(node: _Object, skip: Collection[str] = ()) -> Column | None:
+    """STRUCT of the declared members in mapping order, None if there are none."""
+    values = []
+    for name in node.properties:
+        if name in skip:
+            continue
+        if name in node.children:
+            value = _typed_struct(node.children[name])
+        else:
+            value = F.col(node.typed_name(name))
+        if value is not None:
+            values.append(value.alias(name))
+    if not values:
+        return None
+    return F.struct(*values) if node.number == 0 else F.when(node.keys.isNotNull(), F.struct(*values))
+
+
+def _json_misfits(levels: list[list[_Object]]) -> Misfits:
+    """A scalar with text but no typed value; an object that is something else."""
+    misfits = []
+    for node in itertools.chain.from_iterable(levels):
+        for name in node.properties:
+            if name in node.children:
+                child = node.children[name]
+                there = child.variant.isNotNull() & ~F.is_variant_null(child.variant)
+                misfits.append((node.prefix + name, there & child.keys.isNull()))
+            else:
+                typed = F.col(node.typed_name(name))
+                misfits.append((node.prefix + name, node.member(name).isNotNull() & typed.isNull()))
+    return misfits
+
+
+def _error(message: Column) -> Column:
+    return F.raise_error(message).cast("boolean")
 
 
 def _undeclared_error(paths: Column) -> Column:
-    message = F.concat(
-        F.lit("strict mapping: document "),
-        F.col("_id"),
-        F.lit(" has undeclared fields "),
-        F.array_join(paths, ", "),
+    return _error(
+        F.concat(
+            F.lit("strict mapping: document "),
+            F.col("_id"),
+            F.lit(" has undeclared fields "),
+            F.array_join(paths, ", "),
+        )
     )
-    return F.raise_error(message).cast("boolean")
 
 
 def _misfit_error(misfits: Misfits) -> Column:
-    message = F.concat(
-        F.lit("document "),
-        F.col("_id"),
-        F.lit(" does not fit the mapping in "),
-        F.array_join(_misfit_paths(misfits), ", "),
+    return _error(
+        F.concat(
+            F.lit("document "),
+            F.col("_id"),
+            F.lit(" does not fit the mapping in "),
+            F.array_join(_misfit_paths(misfits), ", "),
+        )
     )
-    return F.raise_error(message).cast("boolean")
+
+
+def _not_an_object(root: _Object) -> tuple[Column, Column]:
+    message = F.concat(F.lit("source of document "), F.col("_id"), F.lit(NOT_AN_OBJECT))
+    return root.keys.isNull(), _error(message)
 
 
 def _misfit_paths(misfits: Misfits) -> Column:
@@ -119,67 +269,35 @@ def _any(misfits: Misfits) -> Column:
     return bad
 
 
-def _variant_value(
-    value: Column, spec: Mapping[str, Any], path: str
-) -> tuple[Column | None, Misfits]:
-    """Typed value of a variant, with ``(path, misfit)`` conditions for it and its children."""
-    present = value.isNotNull() & ~F.is_variant_null(value)
-    if is_object(spec):
-        members = _members(value)
-        children, misfits = _variant_struct(members, properties_of(spec, path), f"{path}.")
-        whole = None if children is None else F.when(members.isNotNull(), children)
-        return whole, [(path, present & members.isNull()), *misfits]
-
-    declared = spec["type"]
-    dtype = field_type(spec, path)
-    kind = F.schema_of_variant(value)
-    is_text, is_flag = kind == "STRING", kind == "BOOLEAN"
-    scalar = ~(kind.startswith("ARRAY") | kind.startswith("OBJECT"))
-    if declared in STRINGS:
-        typed, fits = F.try_variant_get(value, "$", "string"), scalar
-    elif declared == "boolean":
-        typed = F.try_variant_get(value, "$", "boolean")
-        fits = is_flag | F.try_variant_get(value, "$", "string").isin("true", "false")
-    elif declared == "date":
-        number = F.try_variant_get(value, "$", "bigint")
-        typed = F.when(is_text, F.try_variant_get(value, "$", "string").try_cast(dtype)).otherwise(
-            F.timestamp_millis(number)
-        )
-        fits = typed.isNotNull() & ~is_flag & scalar
-    else:
-        typed = F.try_variant_get(value, "$", dtype.simpleString())
-        fits = typed.isNotNull() & ~is_flag & scalar
-    return F.when(present & fits, typed), [(path, present & ~fits)]
-
-
-def _variant_struct(
-    fields: Column, properties: Mapping[str, Any], prefix: str = "", skip: Collection[str] = ()
-) -> tuple[Column | None, Misfits]:
-    typed, misfits = [], []
-    for name, spec in properties.items():
-        value, conditions = _variant_value(fields[name], spec, prefix + name)
-        misfits.extend(conditions)
-        if value is not None and name not in skip:
-            typed.append(value.cast(field_type(spec, prefix + name)).alias(name))
-    return (F.struct(*typed) if typed else None), misfits
+def _report(paths: DataFrame) -> DataFrame:
+    """``(field, n_docs)`` from one array of paths per document."""
+    return (
+        paths.select(F.explode("paths").alias("field"))
+        .groupBy("field")
+        .agg(F.count(F.lit(1)).alias("n_docs"))
+    )
 
 
 def json_conformance(
-    fields: Column, mapping: Mapping[str, Any] | str, skip: Collection[str] = ()
-) -> tuple[Column | None, Column]:
-    """Typed struct of the declared fields but for ``skip``, and the guard of all fields.
+    docs: DataFrame, mapping: Mapping[str, Any] | str, skip: Collection[str] = ()
+) -> tuple[DataFrame, Column | None, Column]:
+    """``docs`` with helper columns, the typed struct of the declared fields but for ``skip``,
+    and the guard of all fields.
 
     The struct is None if no field is left for it.  The guard is TRUE or raises.
     """
-    properties = declared_properties(mapping)
-    typed, misfits = _variant_struct(fields, properties, skip=skip)
-    paths = _undeclared_paths(fields, properties)
+    levels = _levels(declared_properties(mapping))
+    root = levels[0][0]
+    parsed = _typed_columns(_read_members(docs, levels), levels)
+    misfits = _json_misfits(levels)
+    paths = _undeclared(levels)
     guard = (
-        F.when(F.size(paths) > 0, _undeclared_error(paths))
+        F.when(*_not_an_object(root))
+        .when(F.size(paths) > 0, _undeclared_error(paths))
         .when(_any(misfits), _misfit_error(misfits))
         .otherwise(F.lit(True))
     )
-    return typed, guard
+    return parsed, _typed_struct(root, skip), guard
 
 
 def conform_to_mapping(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:
@@ -187,20 +305,37 @@ def conform_to_mapping(docs: DataFrame, mapping: Mapping[str, Any] | str) -> Dat
 
     An undeclared field or a value that does not fit its type fails the job.
     """
-    typed, guard = json_conformance(F.col("__fields"), mapping)
+    parsed, typed, guard = json_conformance(docs, mapping)
     if typed is None:
         raise ValueError("the mapping declares no field")
-    return source_fields(docs).withColumn("fields", F.when(guard, typed)).drop("__fields")
+    return parsed.select(*docs.columns, F.when(guard, typed).alias("fields"))
 
 
 def nonconforming_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:
     """Report: ``(field, n_docs)`` for each field with values that do not fit its type."""
-    _, misfits = _variant_struct(F.col("__fields"), declared_properties(mapping))
-    return (
-        source_fields(docs)
-        .select(F.explode(_misfit_paths(misfits)).alias("field"))
-        .groupBy("field")
-        .agg(F.count(F.lit(1)).alias("n_docs"))
+    levels = _levels(declared_properties(mapping))
+    parsed = _typed_columns(_read_members(docs, levels), levels)
+    return _report(parsed.select(_misfit_paths(_json_misfits(levels)).alias("paths")))
+
+
+def undeclared_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:
+    """Report: ``(field, n_docs)`` for each undeclared field of JSON sources."""
+    levels = _levels(declared_properties(mapping))
+    return _report(_read_members(docs, levels).select(_undeclared(levels).alias("paths")))
+
+
+def reject_undeclared_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:
+    """Documents unchanged; evaluating the source of one with an undeclared field fails."""
+    levels = _levels(declared_properties(mapping))
+    paths = _undeclared(levels)
+    guard = (
+        F.when(*_not_an_object(levels[0][0]))
+        .when(F.size(paths) > 0, _undeclared_error(paths))
+        .otherwise(F.lit(True))
+    )
+    checked = F.when(guard, F.col("source")).alias("source")
+    return _read_members(docs, levels).select(
+        *[checked if name == "source" else F.col(name) for name in docs.columns]
     )
 
 
@@ -267,9 +402,10 @@ def _row_value(
         return value.cast(dtype), []
     if declared == "date" and isinstance(source, T.IntegralType):
         return F.timestamp_millis(value), []
-    if (declared == "date" and is_text) or (
-        declared in WHOLE_NUMBERS + REAL_NUMBERS and (is_text or is_number)
-    ):
+    if declared == "date" and is_text:
+        typed = _date_from_text(value)
+        return typed, [(path, value.isNotNull() & typed.isNull())]
+    if declared in WHOLE_NUMBERS + REAL_NUMBERS and (is_text or is_number):
         typed = value.try_cast(dtype)
         return typed, [(path, value.isNotNull() & typed.isNull())]
     raise refused

@@ -13,6 +13,8 @@ JSON_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+NOT_AN_OBJECT = " is not a JSON object with distinct keys"
+
 
 def column(name: str) -> Column:
     """A top-level column whatever its name holds (dots, spaces, backticks)."""
@@ -32,6 +34,17 @@ def require_id(value: Column, id_field: str, where: Column | None = None) -> Col
     return F.coalesce(value, F.raise_error(message).cast("string"))
 
 
+def json_members(text: Column, where: Column) -> Column:
+    """The members of JSON text as MAP<STRING, VARIANT>.
+
+    Text that is malformed, repeats a key or is no object fails the job; ``where`` begins the
+    message.
+    """
+    members = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    message = F.concat(where, F.lit(NOT_AN_OBJECT))
+    return F.coalesce(members, F.raise_error(message).cast("map<string,variant>"))
+
+
 def to_source_json(value: Column) -> Column:
     """A struct, map or variant as JSON text, NULL fields kept."""
     return F.to_json(value, JSON_OPTIONS)

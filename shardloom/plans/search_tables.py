@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shardloom.config import path_exists
 from shardloom.operators.postings import field_stats, postings
+from shardloom.plans.write import tasks_per_shard
 
 POSTINGS_SCHEMA = (
     "term string, _id string, tf int, positions array<int>, doc_len int, shard int, slice int"
@@ -31,11 +32,6 @@ def slice_of(term: Column, slices: int) -> Column:
     return F.pmod(F.hash(term), F.lit(slices))
 
 
-def slices_for(spark: SparkSession, num_shards: int) -> int:
-    """Slices per shard such that all shards together fill the configured shuffle partitions."""
-    return max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // num_shards))
-
-
 def write_postings(docs: DataFrame, path: str, field: str, num_shards: int) -> None:
     """Write the postings of ``field`` of ``(shard, _id, <field>)`` documents, then their totals.
 
@@ -46,7 +42,7 @@ def write_postings(docs: DataFrame, path: str, field: str, num_shards: int) -> N
     target = field_path(path, field)
     if path_exists(spark, target):
         raise FileExistsError(f"path {target} already exists")
-    slices = slices_for(spark, num_shards)
+    slices = tasks_per_shard(spark, num_shards)
     (
         postings(docs, field)
         .withColumn("slice", slice_of(F.col("term"), slices))

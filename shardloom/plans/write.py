@@ -26,7 +26,6 @@ from shardloom.operators.conform import (
     fits_by_schema,
     json_conformance,
     row_conformance,
-    source_fields,
 )
 from shardloom.operators.documents import extract_id, require_id, to_source_json
 from shardloom.operators.routing import shard_counts, with_shard
@@ -157,12 +156,13 @@ def _write_json(
     path, job_id = _target(docs.sparkSession, config, job_id)
     newest = docs if order_by is None else upsert_by_id(docs, order_by)
     keyed = newest.select(require_id(extract_id("_id"), "_id").alias("_id"), "source")
-    typed, guard = json_conformance(
-        F.col("__fields"), config.mapping, skip=text_fields(config.mapping)
+    # Only the source travels; it is parsed and checked after the shuffle.
+    parsed, typed, guard = json_conformance(
+        _to_shards(keyed, config.num_shards), config.mapping, skip=text_fields(config.mapping)
     )
     return _commit(
-        source_fields(_to_shards(keyed, config.num_shards)), F.col("source"), typed, guard,
-        config, path, job_id, unique or order_by is not None,
+        parsed, F.col("source"), typed, guard, config, path, job_id,
+        unique or order_by is not None,
     )
 
 
@@ -173,16 +173,27 @@ def _target(spark: SparkSession, config: SnapshotConfig, job_id: str | None) ->
     return path, job_id
 
 
+def tasks_per_shard(spark: SparkSession, num_shards: int) -> int:
+    """How many parts of a shard it takes to fill the configured shuffle partitions."""
+    return max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // num_shards))
+
+
 def _to_shards(docs: DataFrame, num_shards: int) -> DataFrame:
     """Rows shuffled by shard and sorted by id inside each task.
 
-    A rebalancing shuffle: adaptive execution cuts a shard that is larger than the advisory
-    partition size into several tasks and packs small shards together, so neither the number of
-    shards nor a hot one sets the size of a task.  The order gives Parquet narrow id ranges.
+    The number of shards does not set the number of tasks: with few shards, each is cut into
+    parts by a hash of the id.  The shuffle is a rebalancing one, so adaptive execution cuts a
+    part that is larger than the advisory partition size again and packs small ones together.
+    The order gives Parquet narrow id ranges.
     """
-    return (
-        with_shard(docs, num_shards).hint("rebalance", "shard").sortWithinPartitions("shard", "_id")
-    )
+    parts = tasks_per_shard(docs.sparkSession, num_shards)
+    routed = with_shard(docs, num_shards)
+    if parts == 1:
+        spread = routed.hint("rebalance", "shard")
+    else:
+        part = F.pmod(F.xxhash64("_id"), F.lit(parts))
+        spread = routed.withColumn("__part", part).hint("rebalance", "shard", "__part")
+    return spread.drop("__part").sortWithinPartitions("shard", "_id")
 
 
 def _commit(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.config import DEFAULT_ID_FIELD
-from shardloom.operators.documents import require_id, to_source_json
+from shardloom.operators.documents import json_members, require_id, to_source_json
 
 # What counts as blank at either end of a line, U+0000 to U+0020.
 BLANKS = "".join(map(chr, range(0x21)))
@@ -37,10 +37,8 @@ def read_jsonl_documents(
     if keep_id is None:
         keep_id = id_field != DEFAULT_ID_FIELD
     lines = skip_blank_lines(spark.read.text(path).select("value", "_metadata.file_path"))
-    parsed = lines.select(
-        "file_path",
-        F.variant_get(F.parse_json("value"), "$", "map<string,variant>").alias("fields"),
-    )
+    where = F.concat(F.lit("line in "), F.col("file_path"))
+    parsed = lines.select("file_path", json_members(F.col("value"), where).alias("fields"))
     fields = F.col("fields")
     return parsed.select(
         require_id(fields[id_field].cast("string"), id_field, F.col("file_path")).alias("_id"),
