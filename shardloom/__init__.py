@@ -29,7 +29,13 @@ from shardloom.operators.search import match_query
 from shardloom.operators.upsert import upsert_by_id
 from shardloom.plans.restore import Snapshot, open_snapshot, read_manifest, restore
 from shardloom.plans.search_tables import write_postings
-from shardloom.plans.write import WrittenSnapshot, write_documents, write_snapshot
+from shardloom.plans.write import (
+    WrittenSnapshot,
+    write_configured,
+    write_documents,
+    write_jsonl_snapshot,
+    write_snapshot,
+)
 from shardloom.sources.jsonl import read_jsonl_documents
 from shardloom.sources.rows import documents_from_dataframe
 
@@ -70,7 +76,9 @@ __all__ = [
     "verify_routing",
     "with_routing_hash",
     "with_shard",
+    "write_configured",
     "write_documents",
+    "write_jsonl_snapshot",
     "write_postings",
     "write_snapshot",
 ]

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of MurmurHash3 x86 32-bit.
+BLOCK_1 = 0xCC9E2D51
+BLOCK_2 = 0x1B873593
 MIX_1 = 0x85EBCA6B
 MIX_2 = 0xC2B2AE35
 BLOCK_MULTIPLIER = 5
@@ -27,9 +29,32 @@ BLOCK_ADDEND = 0xE6546B64
 ROUTING_BITS = 10
 
 WORD = 0xFFFFFFFF
+SPARK_SEED = 42
 
-# An INT whose Spark hash (seed 42) is 0.
-SEED_ZERO = -1693959553
+
+def _signed(word: int) -> int:
+    return word - (1 << 32) if word >> 31 else word
+
+
+def _rotate(word: int, bits: int) -> int:
+    return (word << bits | word >> (32 - bits)) & WORD
+
+
+def int_hashing_to(value: int) -> int:
+    """The INT whose ``hash`` in Spark is ``value``: the hash of an INT is one-to-one."""
+    inverse = {
+        c: pow(c, -1, 1 << 32) for c in (BLOCK_1, BLOCK_2, MIX_1, MIX_2, BLOCK_MULTIPLIER)
+    }
+    h = value & WORD
+    h = (h ^ h >> 16) * inverse[MIX_2] & WORD
+    h = (h ^ h >> 13 ^ h >> 26) * inverse[MIX_1] & WORD
+    h = (h ^ h >> 16) ^ 4
+    h = _rotate((h - BLOCK_ADDEND) * inverse[BLOCK_MULTIPLIER] & WORD, 19) ^ SPARK_SEED
+    return _signed(_rotate(h * inverse[BLOCK_2] & WORD, 17) * inverse[BLOCK_1] & WORD)
+
+
+# Hashed first, it makes 0 the seed of what follows.
+SEED_ZERO = int_hashing_to(0)
 
 
 def num_routing_shards(num_shards: int) -> int:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.functions.hashing import num_routing_shards, routing_shift, with_routing_hash
+from shardloom.functions.hashing import (
+    int_hashing_to,
+    num_routing_shards,
+    routing_shift,
+    with_routing_hash,
+)
 
 _HASH = "__route_hash"
 
@@ -25,6 +30,37 @@ def with_shard(
     )
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def parts_per_shard(spark: SparkSession, num_shards: int) -> int:
+    """How many parts of each shard it takes to fill the configured shuffle partitions."""
+    return max(1, -(-shuffle_partitions(spark) // num_shards))
+
+
+def spread(df: DataFrame, num_shards: int, part: Column, shard_column: str = "shard") -> DataFrame:
+    """Rows shuffled by shard and part of a shard, ``part`` being below ``parts_per_shard``.
+
+    So the number of shards does not set the number of tasks.  Parts are dealt out to shuffle
+    partitions in turn, which hashing them would not do: each gets a key that Spark hashes to
+    the number of its partition.  The shuffle is a rebalancing one, so adaptive execution cuts
+    a partition that is larger than the advisory size and packs small ones together; without
+    adaptive execution, for which Spark ignores that hint, it is a plain one.
+    """
+    spark = df.sparkSession
+    partitions = shuffle_partitions(spark)
+    turn = F.col(shard_column) * parts_per_shard(spark, num_shards) + part
+    keys = F.lit([int_hashing_to(partition) for partition in range(partitions)])
+    key = F.get(keys, F.pmod(turn, F.lit(partitions)))
+    keyed = df.withColumn("__turn", key)
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        shuffled = keyed.hint("rebalance", partitions, "__turn")
+    else:
+        shuffled = keyed.repartition(partitions, "__turn")
+    return shuffled.drop("__turn")
+
+
 def partition_by_shard(df: DataFrame, num_shards: int, shard_column: str = "shard") -> DataFrame:
     """Exactly ``num_shards`` partitions; the index of a partition is the shard it holds.
 
@@ -47,8 +83,11 @@ def partition_counts(df: DataFrame, shard_column: str = "shard") -> DataFrame:
 
 
 def check_partition_count(df: DataFrame, num_shards: int) -> DataFrame:
-    """``df`` itself, if its plan has one partition per shard; raises otherwise."""
-    actual = df.rdd.getNumPartitions()
+    """``df`` itself, if its plan has one partition per shard; raises otherwise.
+
+    The number is read from the plan: nothing is run.
+    """
+    actual = df._jdf.queryExecution().sparkPlan().outputPartitioning().numPartitions()
     if actual != num_shards:
         raise ValueError(
             f"the number of partitions ({actual}) must equal the number of shards ({num_shards})"

@@ -205,7 +205,7 @@ class Snapshot:
 
         Needs the search tables of the field.
         """
-        terms = query_terms(text)
+        terms = query_terms(self.spark, text)
         post = read_postings(self.spark, self.path, field, terms)
         best = match_query(post, read_stats(self.spark, self.path, field), terms, size)
         return self._fetch(best, size).orderBy(F.desc("_score"), "_id").drop("shard")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shardloom.config import path_exists
 from shardloom.operators.postings import field_stats, postings
-from shardloom.plans.write import tasks_per_shard
+from shardloom.operators.routing import parts_per_shard, spread
 
 POSTINGS_SCHEMA = (
     "term string, _id string, tf int, positions array<int>, doc_len int, shard int, slice int"
@@ -42,11 +42,10 @@ def write_postings(docs: DataFrame, path: str, field: str, num_shards: int) -> N
     target = field_path(path, field)
     if path_exists(spark, target):
         raise FileExistsError(f"path {target} already exists")
-    slices = tasks_per_shard(spark, num_shards)
+    slices = parts_per_shard(spark, num_shards)
+    sliced = postings(docs, field).withColumn("slice", slice_of(F.col("term"), slices))
     (
-        postings(docs, field)
-        .withColumn("slice", slice_of(F.col("term"), slices))
-        .hint("rebalance", "shard", "slice")
+        spread(sliced, num_shards, F.col("slice"))
         .sortWithinPartitions("shard", "slice", "term", "_id")
         .select("term", "_id", "tf", "positions", "doc_len", "shard", "slice")
         .write.mode("errorifexists")

@@ -28,8 +28,9 @@ from shardloom.operators.conform import (
     row_conformance,
 )
 from shardloom.operators.documents import extract_id, require_id, to_source_json
-from shardloom.operators.routing import shard_counts, with_shard
+from shardloom.operators.routing import parts_per_shard, shard_counts, spread, with_shard
 from shardloom.operators.upsert import upsert_by_id
+from shardloom.sources.jsonl import read_jsonl_documents
 from shardloom.sources.rows import documents_from_dataframe, source_struct
 
 # Fixed values of a snapshot directory: one snapshot, first generation, no replicas.
@@ -130,6 +131,19 @@ def write_documents(
     return _write_json(docs, config, job_id, order_by)
 
 
+def write_jsonl_snapshot(
+    spark: SparkSession,
+    path: str | list[str],
+    config: SnapshotConfig,
+    *,
+    job_id: str | None = None,
+    order_by: OrderBy = None,
+) -> WrittenSnapshot:
+    """Snapshot files of JSON lines, with settings from ``resolve_config``."""
+    docs = read_jsonl_documents(spark, path, config.id_field)
+    return _write_json(docs, config, job_id, order_by)
+
+
 def write_configured(
     df: DataFrame, config: SnapshotConfig, *, job_id: str | None = None, order_by: OrderBy = None
 ) -> WrittenSnapshot:
@@ -173,27 +187,14 @@ def _target(spark: SparkSession, config: SnapshotConfig, job_id: str | None) ->
     return path, job_id
 
 
-def tasks_per_shard(spark: SparkSession, num_shards: int) -> int:
-    """How many parts of a shard it takes to fill the configured shuffle partitions."""
-    return max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // num_shards))
-
-
 def _to_shards(docs: DataFrame, num_shards: int) -> DataFrame:
     """Rows shuffled by shard and sorted by id inside each task.
 
-    The number of shards does not set the number of tasks: with few shards, each is cut into
-    parts by a hash of the id.  The shuffle is a rebalancing one, so adaptive execution cuts a
-    part that is larger than the advisory partition size again and packs small ones together.
-    The order gives Parquet narrow id ranges.
+    A shard is cut into parts by a hash of the id.  The order gives Parquet narrow id ranges.
     """
-    parts = tasks_per_shard(docs.sparkSession, num_shards)
-    routed = with_shard(docs, num_shards)
-    if parts == 1:
-        spread = routed.hint("rebalance", "shard")
-    else:
-        part = F.pmod(F.xxhash64("_id"), F.lit(parts))
-        spread = routed.withColumn("__part", part).hint("rebalance", "shard", "__part")
-    return spread.drop("__part").sortWithinPartitions("shard", "_id")
+    part = F.pmod(F.xxhash64("_id"), F.lit(parts_per_shard(docs.sparkSession, num_shards)))
+    routed = spread(with_shard(docs, num_shards), num_shards, part.cast("int"))
+    return routed.sortWithinPartitions("shard", "_id")
 
 
 def _commit(

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -6,6 +8,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import shardloom as sl
+from shardloom.functions.hashing import int_hashing_to
+from shardloom.operators.routing import parts_per_shard, spread
 
 
 def frame(spark, ids):
@@ -90,6 +94,32 @@ def test_hash_ignores_session_ansi_mode(spark):
         spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
+def test_int_hashing_to(spark):
+    values = [0, 1, 7, 1999, -1, 2**31 - 1, -(2**31)]
+    keys = spark.createDataFrame([(v, int_hashing_to(v)) for v in values], "v int, k int")
+    assert keys.where("hash(k) <> v").count() == 0
+
+
+@pytest.mark.parametrize("shards", [1, 3, 8, 50])
+def test_spread_fills_all_partitions_evenly(spark, shards):
+    """Without adaptive execution each partition holds its share and no part is torn."""
+    routed = sl.with_shard(frame(spark, [f"id{i}" for i in range(4000)]), shards)
+    part = F.pmod(F.xxhash64("_id"), F.lit(parts_per_shard(spark, shards))).cast("int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = spread(routed.withColumn("part", part), shards, F.col("part"))
+        rows = placed.select("shard", "part", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = Counter(row["p"] for row in rows)
+    assert len(rows) == 4000 and len(sizes) == 8
+    assert max(sizes.values()) < 1.9 * min(sizes.values()) or shards == 3
+    homes = {}
+    for row in rows:
+        homes.setdefault((row["shard"], row["part"]), set()).add(row["p"])
+    assert all(len(home) == 1 for home in homes.values())
+
+
 def test_with_shard_keeps_other_columns(spark):
     df = spark.createDataFrame([("id1", 5, "x")], "_id string, `a.b` int, hash string")
     row = sl.with_shard(df, 2).first()

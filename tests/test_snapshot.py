@@ -43,8 +43,10 @@ def test_json_lines_end_to_end(spark, folder):
     """1,000 JSON lines, two shards: written, restored, searched."""
     lines = [json.dumps({"_id": f"id{i}", "text": f"foo {i}", "docid": i}) for i in range(1000)]
     (Path(folder) / "input.jsonl").write_text("\n".join(lines) + "\n")
-    docs = sl.read_jsonl_documents(spark, f"{folder}/input.jsonl")
-    result = sl.write_documents(docs, f"{folder}/out", "test", FOO, 2)
+    config = sl.resolve_config(
+        spark, output_dir=f"{folder}/out", index_name="test", mapping=FOO, num_shards=2
+    )
+    result = sl.write_jsonl_snapshot(spark, f"{folder}/input.jsonl", config)
     snapshot = sl.open_snapshot(spark, result.path)
 
     metadata = snapshot.index_metadata().collect()
@@ -83,6 +85,19 @@ def test_rows_end_to_end(spark, folder):
     }
 
 
+def test_custom_id_of_json_lines_must_be_declared(spark, folder):
+    (Path(folder) / "input.jsonl").write_text('{"docid":7,"text":"x"}\n')
+    settings = {"output_dir": f"{folder}/out", "index_name": "test", "num_shards": 2}
+    config = sl.resolve_config(spark, mapping=FOO, id_field="docid", **settings)
+    result = sl.write_jsonl_snapshot(spark, f"{folder}/input.jsonl", config)
+    row = sl.restore(spark, result.path).first()
+    assert row["_id"] == "7" and row["fields"]["docid"] == 7
+    only_text = {"properties": {"text": {"type": "text"}}}
+    config = sl.resolve_config(spark, mapping=only_text, id_field="docid", **settings)
+    with pytest.raises(PySparkException, match="undeclared fields docid"):
+        sl.write_jsonl_snapshot(spark, f"{folder}/input.jsonl", config)
+
+
 def test_path_holds_job_and_index(spark, folder):
     result = sl.write_snapshot(foo(spark, 3), folder, "test", FOO, 2, job_id="job_7")
     assert result.path == f"{folder}/job_7/test"
