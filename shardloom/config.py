@@ -108,13 +108,24 @@ def snapshot_path(output_dir: str, job_id: str, index_name: str) -> str:
     return "/".join([output_dir.rstrip("/") or "", job_id, index_name])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whichever Hadoop filesystem it names."""
+def _filesystem(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """Whichever Hadoop filesystem a path names, and the path in its terms."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return jvm_path.getFileSystem(conf), jvm_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    filesystem, jvm_path = _filesystem(spark, path)
     return filesystem.exists(jvm_path)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path."""
+    filesystem, jvm_path = _filesystem(spark, path)
+    return filesystem.getContentSummary(jvm_path).getLength()
+
+
 def check_output(spark: SparkSession, path: str, config: SnapshotConfig) -> None:
     """Fail before any work: the settings are complete and the target is new.
 

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.config import path_exists
+from shardloom.config import path_bytes, path_exists
 from shardloom.functions.tokens import query_terms
 from shardloom.mapping import stored_fields, text_fields
 from shardloom.operators.routing import verify_routing
 from shardloom.operators.search import DEFAULT_SIZE, match_query
-from shardloom.plans.search_tables import read_postings, read_stats, write_postings
+from shardloom.plans.search_tables import read_postings, read_stats, slices_for, write_postings
 from shardloom.plans.write import docs_path, docs_schema, manifest_path
 
 # Fixed value: pages up to this size are fetched by literal ids.
@@ -192,10 +192,12 @@ class Snapshot:
 
     def write_search_tables(self, *fields: str) -> None:
         """Build the postings of text fields (of all of them if none is named)."""
+        size = path_bytes(self.spark, docs_path(self.path))
+        slices = slices_for(self.spark, self.num_shards, size)
         for field in fields or text_fields(self.mapping):
             text = F.col("fields").getField(field).alias(field)
             docs = self.documents().select("shard", "_id", text)
-            write_postings(docs, self.path, field, self.num_shards)
+            write_postings(docs, self.path, field, self.num_shards, slices)
 
     def postings(self, field: str) -> DataFrame:
         return read_postings(self.spark, self.path, field)

@@ -18,6 +18,9 @@ from shardloom.config import path_exists
 from shardloom.operators.postings import field_stats, postings
 from shardloom.operators.routing import parts_per_shard, spread
 
+# Fixed value: documents per slice of a shard.
+SLICE_BYTES = 64 << 20
+
 POSTINGS_SCHEMA = (
     "term string, _id string, tf int, positions array<int>, doc_len int, shard int, slice int"
 )
@@ -32,20 +35,30 @@ def slice_of(term: Column, slices: int) -> Column:
     return F.pmod(F.hash(term), F.lit(slices))
 
 
-def write_postings(docs: DataFrame, path: str, field: str, num_shards: int) -> None:
+def slices_for(spark: SparkSession, num_shards: int, docs_bytes: int) -> int:
+    """Slices per shard: one for each ``SLICE_BYTES`` of documents, but no more than the parts
+    that fill the shuffle partitions."""
+    wanted = -(-docs_bytes // (num_shards * SLICE_BYTES))
+    return max(1, min(wanted, parts_per_shard(spark, num_shards)))
+
+
+def write_postings(
+    docs: DataFrame, path: str, field: str, num_shards: int, slices: int = 1
+) -> None:
     """Write the postings of ``field`` of ``(shard, _id, <field>)`` documents, then their totals.
 
-    One shuffle: by shard and slice, where adaptive execution cuts the slice of a frequent term
-    into several tasks.
+    One shuffle: by shard and a hash of the term, of which the slice is the remainder.  There
+    are as many parts as it takes to fill the shuffle partitions even if there is one slice, and
+    adaptive execution cuts the part of a frequent term into several tasks.
     """
     spark = docs.sparkSession
     target = field_path(path, field)
     if path_exists(spark, target):
         raise FileExistsError(f"path {target} already exists")
-    slices = parts_per_shard(spark, num_shards)
+    parts = slices * max(1, parts_per_shard(spark, num_shards) // slices)
     sliced = postings(docs, field).withColumn("slice", slice_of(F.col("term"), slices))
     (
-        spread(sliced, num_shards, F.col("slice"))
+        spread(sliced, num_shards, slice_of(F.col("term"), parts))
         .sortWithinPartitions("shard", "slice", "term", "_id")
         .select("term", "_id", "tf", "positions", "doc_len", "shard", "slice")
         .write.mode("errorifexists")

@@ -1,12 +1,14 @@
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import shardloom as sl
 from shardloom.functions.tokens import query_terms
+from shardloom.plans.search_tables import read_postings, slices_for, write_postings
 
 TEXTS = {
     "a": "The quick brown fox, the lazy dog.",
@@ -128,15 +130,37 @@ def test_search_on_stored_tables(spark, folder):
         snapshot.write_search_tables("body")
 
 
-def test_term_lookup_prunes(spark, folder):
-    df = spark.range(200).selectExpr("'id' || id as _id", "'w' || id || ' common' as body")
-    mapping = {"properties": {"body": {"type": "text"}}}
-    snapshot = sl.open_snapshot(spark, sl.write_snapshot(df, folder, "test", mapping, 2).path)
-    snapshot.write_search_tables("body")
-    from shardloom.plans.search_tables import read_postings
+def test_slices_follow_the_size_of_the_documents(spark):
+    gib = 1 << 30
+    assert slices_for(spark, 2, 0) == slices_for(spark, 2, 1000) == 1
+    assert slices_for(spark, 2, gib // 4) == 2
+    assert slices_for(spark, 2, gib) == slices_for(spark, 2, 1000 * gib) == 4
+    assert slices_for(spark, 64, 1000 * gib) == 1
+
 
-    post = read_postings(spark, snapshot.path, "body", ["w7"])
+def test_term_lookup_prunes(spark, folder):
+    df = spark.range(200).selectExpr(
+        "'id' || id as _id", "int(id % 2) as shard", "'w' || id || ' common' as body"
+    )
+    write_postings(df, folder, "body", 2, slices=3)
+    assert {p.name for p in Path(folder).glob("search/body/postings/shard=0/*")} == {
+        "slice=0", "slice=1", "slice=2",
+    }
+    post = read_postings(spark, folder, "body", ["w7"])
     plan = post._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*slice#\d+ = \d+", plan)
     assert "EqualTo(term,w7)" in plan
     assert [r["_id"] for r in post.collect()] == ["id7"]
+    everything = read_postings(spark, folder, "body")
+    assert everything.count() == 400
+    assert len(read_postings(spark, folder, "body", ["common", "w1"]).collect()) == 201
+
+
+def test_stored_postings_are_sorted(spark, folder):
+    df = spark.range(300).selectExpr(
+        "'id' || id as _id", "int(id % 2) as shard", "'b a c ' || id as body"
+    )
+    write_postings(df, folder, "body", 2)
+    for file in Path(folder).glob("search/body/postings/shard=*/slice=0/*.parquet"):
+        rows = [(r["term"], r["_id"]) for r in spark.read.parquet(str(file)).collect()]
+        assert rows == sorted(rows)
