@@ -133,11 +133,11 @@ class Snapshot:
         """
         stored = self.stored_documents().select("shard", "_id", "source")
         if size <= MAX_PAGE:
-            rows = page.collect()
-            page = self.spark.createDataFrame(rows, page.schema)
+            found = page.toArrow()
+            page = self.spark.createDataFrame(found)
             stored = stored.where(
-                F.col("shard").isin(sorted({row["shard"] for row in rows}))
-                & F.col("_id").isin([row["_id"] for row in rows])
+                F.col("shard").isin(found["shard"].unique().to_pylist())
+                & F.col("_id").isin(found["_id"].to_pylist())
             )
         return stored.join(page, ["shard", "_id"]).select(
             "shard",

@@ -1,7 +1,10 @@
 import json
+import tempfile
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -162,3 +165,34 @@ def test_upsert_cuts_rows_before_the_shuffle(spark):
     plan = sl.upsert_by_id(df, "ts")._jdf.queryExecution().executedPlan().toString()
     below = plan.split("Exchange hashpartitioning", 1)[1]
     assert "WindowGroupLimit" in below and "Partial" in below
+
+
+SCALARS = st.one_of(
+    st.none(),
+    st.booleans(),
+    st.integers(-(10**30), 10**30),
+    st.floats(allow_nan=False, allow_infinity=False),
+    st.text(max_size=20),
+)
+VALUES = st.recursive(
+    SCALARS,
+    lambda inner: st.one_of(
+        st.lists(inner, max_size=4), st.dictionaries(st.text(max_size=6), inner, max_size=4)
+    ),
+    max_leaves=8,
+)
+
+
+@settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    docs=st.dictionaries(
+        st.text(max_size=12), st.dictionaries(st.text(max_size=6), VALUES, max_size=5),
+        min_size=30, max_size=60,
+    )
+)
+def test_any_json_survives(spark, docs):
+    docs = {i: {k: v for k, v in d.items() if k != "_id"} for i, d in docs.items()}
+    lines = [json.dumps({"_id": i, **d}) for i, d in docs.items()]
+    assert read(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"), *lines) == docs

@@ -313,6 +313,33 @@ def test_declared_fields_may_be_missing(spark, folder):
     assert row["fields"].asDict() == {"docid": None, "text": "only"}
 
 
+@pytest.mark.parametrize("as_json", [False, True])
+def test_odd_field_names(spark, folder, as_json):
+    mapping = {
+        "properties": {
+            "a.b": {"type": "long"}, "shard": {"type": "long"}, "it's `x`": {"type": "text"},
+            "source": {"properties": {"_id": {"type": "keyword"}, "c d": {"type": "date"}}},
+        }
+    }
+    df = spark.sql(
+        "select 'k' as _id, 1 as `a.b`, 7 as shard, 'Some text' as `it's ``x```, "
+        "named_struct('_id', 'inner', 'c d', timestamp'2024-01-02 03:04:05Z') as source"
+    )
+    if as_json:
+        docs = sl.documents_from_dataframe(df)
+        result = sl.write_documents(docs, folder, "test", mapping, 2)
+        snapshot = sl.open_snapshot(spark, result.path)
+    else:
+        snapshot = written(df, folder, mapping)
+    row = snapshot.documents().select("_id", "shard", "fields").first()
+    fields = row["fields"].asDict(recursive=True)
+    assert row["_id"] == "k" and row["shard"] in (0, 1)
+    assert fields.pop("source")["_id"] == "inner"
+    assert fields == {"a.b": 1, "shard": 7, "it's `x`": "Some text"}
+    snapshot.write_search_tables()
+    assert [h["_id"] for h in snapshot.match("it's `x`", "TEXT").collect()] == ["k"]
+
+
 def test_hook_makes_the_documents(spark, folder):
     def to_document(df):
         return sl.documents_from_dataframe(df.selectExpr("id as _id", "'made' as text"))
@@ -339,6 +366,30 @@ def test_match_all_reads_only_the_shards_it_needs(spark, folder):
     assert everything == [r["_id"] for r in by_shard]
 
 
+def test_pages_beyond_the_usual_size(spark, folder, monkeypatch):
+    snapshot = written(foo(spark), folder, shards=3)
+    snapshot.write_search_tables("text")
+    usual = snapshot.match_all(40).collect(), snapshot.match("text", "foo", 40).collect()
+    monkeypatch.setattr("shardloom.plans.restore.MAX_PAGE", 5)
+    assert usual == (snapshot.match_all(40).collect(), snapshot.match("text", "foo", 40).collect())
+    assert len(usual[0]) == len(usual[1]) == 40
+
+
+def test_part_of_a_frequent_term_is_cut(spark, folder):
+    """Each document holds the same word; its postings are split over several files."""
+    snapshot = written(foo(spark, 20000).repartition(16), folder, shards=1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50000")
+    try:
+        snapshot.write_search_tables("text")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    post = snapshot.postings("text").where("term = 'foo'")
+    assert post.count() == 20000
+    assert post.select(F.input_file_name()).distinct().count() > 1
+    assert len(snapshot.match("text", "foo 77").collect()) == 10
+    assert snapshot.match("text", "foo 77").first()["_id"] == "id77"
+
+
 def test_shards_summary_sees_lost_files(spark, folder):
     snapshot = written(foo(spark, 40), folder)
     extra = spark.createDataFrame([("stray", "{}", (1,))], "_id string, source string, fields struct<docid: bigint>")
