@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import shardloom as sl
 from shardloom.plans.scratch import scratch_dir
 

@@ -22,7 +22,9 @@ from shardloom.operators.routing import (
     partition_by_shard,
     partition_counts,
     shard_counts,
+    snapshot_skeleton,
     verify_routing,
+    with_empty_shards,
     with_shard,
 )
 from shardloom.operators.search import match_query
@@ -31,6 +33,7 @@ from shardloom.plans.restore import Snapshot, open_snapshot, read_manifest, rest
 from shardloom.plans.search_tables import write_postings
 from shardloom.plans.write import (
     WrittenSnapshot,
+    index_settings,
     write_configured,
     write_documents,
     write_jsonl_snapshot,
@@ -52,6 +55,7 @@ __all__ = [
     "field_stats",
     "mapping_from_dict",
     "mapping_to_schema",
+    "index_settings",
     "match_query",
     "nonconforming_fields",
     "normalize_mapping",
@@ -68,12 +72,14 @@ __all__ = [
     "restore",
     "shard_counts",
     "snapshot_path",
+    "snapshot_skeleton",
     "term_dictionary",
     "to_source_json",
     "token_array",
     "undeclared_fields",
     "upsert_by_id",
     "verify_routing",
+    "with_empty_shards",
     "with_routing_hash",
     "with_shard",
     "write_configured",

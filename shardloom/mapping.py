@@ -121,6 +121,22 @@ def text_fields(mapping: Mapping[str, Any] | str) -> list[str]:
     return [n for n, d in declared_properties(mapping).items() if d.get("type") == "text"]
 
 
+def text_paths(mapping: Mapping[str, Any] | str) -> dict[str, tuple[str, ...]]:
+    """Every field of type ``text`` by its dotted name, with the names that lead to it."""
+    found: dict[str, tuple[str, ...]] = {}
+
+    def visit(properties: Mapping[str, Any], above: tuple[str, ...]) -> None:
+        for name, spec in properties.items():
+            path = (*above, name)
+            if is_object(spec):
+                visit(properties_of(spec, ".".join(path)), path)
+            elif spec.get("type") == "text":
+                found[".".join(path)] = path
+
+    visit(declared_properties(mapping), ())
+    return found
+
+
 def stored_fields(mapping: Mapping[str, Any] | str) -> T.StructType:
     """Schema of the typed columns a snapshot stores: the declared fields but for text."""
     texts = text_fields(mapping)

@@ -46,7 +46,8 @@ def spread(df: DataFrame, num_shards: int, part: Column, shard_column: str = "sh
     partitions in turn, which hashing them would not do: each gets a key that Spark hashes to
     the number of its partition.  The shuffle is a rebalancing one, so adaptive execution cuts
     a partition that is larger than the advisory size and packs small ones together; without
-    adaptive execution, for which Spark ignores that hint, it is a plain one.
+    adaptive execution, for which Spark ignores that hint, it is a plain one.  Should Spark ever
+    hash otherwise, only the balance of the tasks would change.
     """
     spark = df.sparkSession
     partitions = shuffle_partitions(spark)
@@ -95,9 +96,9 @@ def check_partition_count(df: DataFrame, num_shards: int) -> DataFrame:
     return df
 
 
-def snapshot_skeleton(df: DataFrame, num_shards: int) -> DataFrame:
+def snapshot_skeleton(spark: SparkSession, num_shards: int) -> DataFrame:
     """All shards ``0 .. num_shards - 1`` as INT column ``shard``."""
-    return df.sparkSession.range(num_shards).select(F.col("id").cast("int").alias("shard"))
+    return spark.range(num_shards).select(F.col("id").cast("int").alias("shard"))
 
 
 def with_empty_shards(counts: DataFrame, num_shards: int) -> DataFrame:
@@ -106,7 +107,7 @@ def with_empty_shards(counts: DataFrame, num_shards: int) -> DataFrame:
     At most one row per shard on either side, whatever the size of the data.
     """
     return (
-        snapshot_skeleton(counts, num_shards)
+        snapshot_skeleton(counts.sparkSession, num_shards)
         .join(counts, "shard", "left")
         .withColumn("doc_count", F.coalesce("doc_count", F.lit(0).cast("bigint")))
     )

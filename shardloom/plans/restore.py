@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from shardloom.config import path_bytes, path_exists
 from shardloom.functions.tokens import query_terms
-from shardloom.mapping import stored_fields, text_fields
+from shardloom.mapping import stored_fields, text_fields, text_paths
 from shardloom.operators.routing import verify_routing
 from shardloom.operators.search import DEFAULT_SIZE, match_query
 from shardloom.plans.search_tables import read_postings, read_stats, slices_for, write_postings
@@ -191,11 +191,18 @@ class Snapshot:
         )
 
     def write_search_tables(self, *fields: str) -> None:
-        """Build the postings of text fields (of all of them if none is named)."""
+        """Build the postings of text fields, named by dotted path (all of them by default)."""
+        declared = text_paths(self.mapping)
+        unknown = [field for field in fields if field not in declared]
+        if unknown:
+            raise ValueError(f"not declared as text fields: {', '.join(unknown)}")
         size = path_bytes(self.spark, docs_path(self.path))
         slices = slices_for(self.spark, self.num_shards, size)
-        for field in fields or text_fields(self.mapping):
-            text = F.col("fields").getField(field).alias(field)
+        for field in fields or declared:
+            text = F.col("fields")
+            for name in declared[field]:
+                text = text.getField(name)
+            text = text.alias(field)
             docs = self.documents().select("shard", "_id", text)
             write_postings(docs, self.path, field, self.num_shards, slices)
 

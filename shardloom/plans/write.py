@@ -239,6 +239,15 @@ def _require_unique_ids(stored: DataFrame) -> None:
         )
 
 
+def index_settings(num_shards: int) -> dict[str, int]:
+    """What a snapshot records about its shards."""
+    return {
+        "num_shards": num_shards,
+        "num_routing_shards": num_routing_shards(num_shards),
+        "num_replicas": REPLICAS,
+    }
+
+
 def manifest_of(stored: DataFrame, config: SnapshotConfig) -> DataFrame:
     """One row per shard, empty shards included: index settings and document count.
 
@@ -249,9 +258,7 @@ def manifest_of(stored: DataFrame, config: SnapshotConfig) -> DataFrame:
         "index_uuid": F.lit(uuid.uuid4().hex),
         "snapshot": F.lit(SNAPSHOT_NAME),
         "generation": F.lit(GENERATION),
-        "num_shards": F.lit(config.num_shards),
-        "num_routing_shards": F.lit(num_routing_shards(config.num_shards)),
-        "num_replicas": F.lit(REPLICAS),
+        **{name: F.lit(value) for name, value in index_settings(config.num_shards).items()},
         "id_field": F.lit(config.id_field),
         "mapping": F.lit(mapping_json(config.mapping)),
     }

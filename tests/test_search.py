@@ -130,6 +130,16 @@ def test_search_on_stored_tables(spark, folder):
         snapshot.write_search_tables("body")
 
 
+def test_nested_text_is_searched_by_its_path(spark, folder):
+    mapping = {"properties": {"o": {"properties": {"p": {"type": "text"}, "k": {"type": "keyword"}}}}}
+    df = spark.sql("select 'x' as _id, struct('Hello there' as p, 'hello' as k) as o")
+    snapshot = sl.open_snapshot(spark, sl.write_snapshot(df, folder, "test", mapping, 2).path)
+    snapshot.write_search_tables()
+    assert [h["_id"] for h in snapshot.match("o.p", "hello").collect()] == ["x"]
+    with pytest.raises(ValueError, match="not declared as text fields: o.k"):
+        snapshot.write_search_tables("o.k")
+
+
 def test_slices_follow_the_size_of_the_documents(spark):
     gib = 1 << 30
     assert slices_for(spark, 2, 0) == slices_for(spark, 2, 1000) == 1
