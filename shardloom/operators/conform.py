@@ -108,9 +108,11 @@ def _read_members(docs: DataFrame, levels: list[list[_Object]]) -> DataFrame:
     """Parse each source once and add the columns of every declared object.
 
     Each depth is a projection of its own, so that nothing is parsed or looked up again by
-    the expressions that use it.
+    the expressions that use it.  The columns then pass through a one-element ``inline``, below
+    which the optimizer moves no filter on them: moved there, it would parse again.
     """
     root = levels[0][0]
+    helpers = [root.name("variant")]
     out = docs.withColumn(root.name("variant"), F.try_parse_json("source"))
     for level in levels:
         found = {}
@@ -126,13 +128,15 @@ def _read_members(docs: DataFrame, levels: list[list[_Object]]) -> DataFrame:
                     node.variant, "$", _struct_type(types)
                 )
         out = out.withColumns(found)
+        helpers += found
         below = {
             child.name("variant"): node.member(name)
             for node in level
             for name, child in node.children.items()
         }
         out = out.withColumns(below) if below else out
-    return out
+        helpers += below
+    return out.select(*[column(name) for name in docs.columns], F.inline(F.array(F.struct(*helpers))))
 
 
 def _undeclared(levels: list[list[_Object]]) -> Column:
@@ -269,10 +273,15 @@ def _any(misfits: Misfits) -> Column:
     return bad
 
 
-def _report(paths: DataFrame) -> DataFrame:
-    """``(field, n_docs)`` from one array of paths per document."""
+def _report(parsed: DataFrame, paths: Column) -> DataFrame:
+    """``(field, n_docs)`` from one array of paths per document.
+
+    The outer ``explode`` keeps the optimizer from testing the array first, which would
+    evaluate it twice.
+    """
     return (
-        paths.select(F.explode("paths").alias("field"))
+        parsed.select(F.explode_outer(paths).alias("field"))
+        .where(F.col("field").isNotNull())
         .groupBy("field")
         .agg(F.count(F.lit(1)).alias("n_docs"))
     )
@@ -315,13 +324,13 @@ def nonconforming_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> D
     """Report: ``(field, n_docs)`` for each field with values that do not fit its type."""
     levels = _levels(declared_properties(mapping))
     parsed = _typed_columns(_read_members(docs, levels), levels)
-    return _report(parsed.select(_misfit_paths(_json_misfits(levels)).alias("paths")))
+    return _report(parsed, _misfit_paths(_json_misfits(levels)))
 
 
 def undeclared_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:
     """Report: ``(field, n_docs)`` for each undeclared field of JSON sources."""
     levels = _levels(declared_properties(mapping))
-    return _report(_read_members(docs, levels).select(_undeclared(levels).alias("paths")))
+    return _report(_read_members(docs, levels), _undeclared(levels))
 
 
 def reject_undeclared_fields(docs: DataFrame, mapping: Mapping[str, Any] | str) -> DataFrame:

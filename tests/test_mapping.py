@@ -273,3 +273,11 @@ def test_undeclared_columns_fail_without_a_job(spark):
     df = spark.sql("select raise_error('job ran') as a, struct(1 as x, 2 as q) as o, 3 as z")
     with pytest.raises(StrictMappingError, match="undeclared fields o.q, z"):
         row_conformance(None, df.schema, NESTED)
+
+
+def test_filters_on_typed_fields_do_not_parse_again(spark):
+    conformed = sl.conform_to_mapping(docs(spark, {"a": 1}, {"a": 9}), NESTED)
+    kept = conformed.where("fields.a > 5 and fields.o.x is null")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("parse_json") == 1
+    assert [r["_id"] for r in kept.collect()] == ["d1"]
