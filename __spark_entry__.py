@@ -14,6 +14,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import shardloom as sl
 from shardloom.plans.scratch import scratch_dir
 
+try:
+    import corpus_pipeline
+    import shardloom.llm.registry as llm
+except ModuleNotFoundError as missing:
+    # Both can be left out together; anything else that is missing is an error.
+    if missing.name not in ("corpus_pipeline", "shardloom.llm", "shardloom.llm.registry"):
+        raise
+    llm = corpus_pipeline = None
+
 SMALL = "/root/testdata/sf0.001"
 
 QUERY_TEXT = "the onesen verblest leaux"
@@ -406,6 +415,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All queries: those of the library, then those of its optional subpackage."""
+    optional = {} if llm is None else llm.queries() | {"pipeline": corpus_pipeline.run}
+    return core_queries() | optional
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
         for query in (
@@ -547,6 +562,13 @@ def _bm25(columns: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    optional = {} if llm is None else llm.oracle_sql()
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        optional["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return core_oracle_sql() | optional
+
+
+def core_oracle_sql() -> dict[str, str]:
     docs = _ids("documents", "doc_id")
     event_columns = f"""
         {_id("event_id")} AS _id, user_id, event_type, value,
