@@ -57,3 +57,31 @@ def cut(df: DataFrame) -> DataFrame:
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: what sizes of groups are derived from."""
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+#: Rows of narrow columns that are small enough to be sent to every executor; beyond, a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` computed once; to be broadcast only if it is counted to be small."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
+def shingle_hashes(words: Column, n: int) -> Column:
+    """Distinct 64-bit hashes of ``n`` consecutive words; empty with fewer words."""
+    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+    return F.array_distinct(
+        F.transform(starts, lambda word, i: F.xxhash64(word, *[F.get(words, i + k) for k in range(1, n)]))
+    )
+
+
+def shingles(words: Column, n: int) -> Column:
+    """Distinct texts of ``n`` consecutive words, joined by a space; empty with fewer words."""
+    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+    return F.array_distinct(
+        F.transform(
+            starts, lambda word, i: F.concat_ws(" ", word, *[F.get(words, i + k) for k in range(1, n)])
+        )
+    )

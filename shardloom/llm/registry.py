@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from shardloom.llm import mixing, warc
+from shardloom.llm import decontaminate, mixing, warc
 from shardloom.llm.common import Query
 
-MODULES = (mixing, warc)
+MODULES = (decontaminate, mixing, warc)
 
 
 def queries() -> dict[str, Query]:
