@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from shardloom.llm import decontaminate, langid, mixing, toxicity, warc
+from shardloom.llm import decontaminate, langid, mixing, quality, toxicity, warc
 from shardloom.llm.common import Query
 
-MODULES = (decontaminate, langid, mixing, toxicity, warc)
+MODULES = (decontaminate, langid, mixing, quality, toxicity, warc)
 
 
 def queries() -> dict[str, Query]:
