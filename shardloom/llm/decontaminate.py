@@ -28,17 +28,28 @@ from shardloom.llm.common import Query, lower_ascii, read, shingle_hashes, shing
 WORDS = 5
 PERCENT = 80
 
+#: Pairs that are broadcast with the shingles of their items; more are joined by a shuffle.
+WIDE_ROWS = 20_000
+
 
 def _need(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
-def _worded(rows: DataFrame, key: str) -> DataFrame:
+def _texts(rows: DataFrame, key: str) -> DataFrame:
     return rows.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(
-        F.col(key).cast("bigint").alias(key), word_list(lower_ascii(F.col("text"))).alias("words")
+        F.col(key).cast("bigint").alias(key), "text"
     )
 
 
+def _words() -> Column:
+    return word_list(lower_ascii(F.col("text"))).alias("words")
+
+
+def _worded(rows: DataFrame, key: str) -> DataFrame:
+    return _texts(rows, key).select(key, _words())
+
+
 def sketches(items: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """``(item_id, least, hash)``: sketched hashes of each item, and how many a holder has."""
     largest = F.pow(F.lit(2), F.floor(F.log2("n")) + 1) - 1
@@ -79,11 +90,12 @@ def find_items(
     of_item = _worded(items, "item_id").select(
         "item_id", shingles(F.col("words"), words).alias("item_shingles")
     )
-    named = small(pairs.join(of_item, "item_id"))
+    named = small(pairs.join(of_item, "item_id"), WIDE_ROWS)
     contained = F.size(F.array_intersect("item_shingles", shingles(F.col("words"), words)))
     return (
-        _worded(docs, "doc_id")
+        _texts(docs, "doc_id")
         .join(named, "doc_id")
+        .select("doc_id", "item_id", "item_shingles", _words())
         .select(
             "doc_id",
             "item_id",
