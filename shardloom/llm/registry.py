@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from shardloom.llm import decontaminate, langid, mixing, near_duplicates, neighbours, quality, toxicity, warc
+from shardloom.llm import decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, toxicity, warc
 from shardloom.llm.common import Query
 
-MODULES = (decontaminate, langid, mixing, near_duplicates, neighbours, quality, toxicity, warc)
+MODULES = (decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, toxicity, warc)
 
 
 def queries() -> dict[str, Query]:
