@@ -77,3 +77,8 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
         x = np.minimum(x[:-span], x[span:])
         span *= 2
     return np.minimum(x[:n], x[width - span : width - span + n])
+
+
+def byte_hashes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte."""
+    return _BYTE[data]
