@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import Query, cut, fold, read
+from shardloom.llm.grams import mix
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNDECIDED = "und"
@@ -43,7 +45,7 @@ LONGEST = 24
 #: Documents of a language that are learned from, about; rounds of learning; words a task keeps.
 PER_LANGUAGE = 4_000
 ROUNDS = 4
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 
 #: Added to each piece's expected count.
 SMOOTHING = 0.05
@@ -74,27 +76,67 @@ def words_of(text: str) -> list[str]:
     return words
 
 
+class Pieces:
+    """A vocabulary as sorted hashes of the pieces of each length."""
+
+    def __init__(self, numbers: dict[str, int]) -> None:
+        self.size = len(numbers)
+        self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+        for length in range(1, PIECE + 1):
+            own = [piece for piece in numbers if len(piece) == length]
+            hashes = np.zeros(len(own), np.uint64)
+            codes = _codes("".join(own)).reshape(len(own), length)
+            for k in range(length):
+                hashes = _longer(hashes, codes[:, k])
+            order = np.argsort(hashes)
+            self.tables.append((hashes[order], np.array([numbers[own[i]] for i in order], np.int64)))
+
+    def find(self, hashes: np.ndarray, length: int) -> np.ndarray:
+        """Number of the piece with each hash, or -1."""
+        known, numbers = self.tables[length - 1]
+        if not len(known):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        return np.where(known[at] == hashes, numbers[at], -1)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _longer(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of strings that are one letter longer."""
+    return mix(hashes * np.uint64(0x9E3779B97F4A7C15) + codes + np.uint64(1))
+
+
 class Lattice:
     """All pieces at all places of some words, as arrays sorted by end, then word."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int]) -> None:
-        found = []
-        other = len(pieces)
-        get = pieces.get
-        for k, word in enumerate(words):
-            n = len(word)
-            for i in range(n):
-                single = get(word[i])
-                found.append((i + 1, k, i, other if single is None else single))
-                for j in range(i + 2, min(i + PIECE, n) + 1):
-                    piece = get(word[i:j])
-                    if piece is not None:
-                        found.append((j, k, i, piece))
-        table = np.array(found, dtype=np.int64).reshape(-1, 4)
-        table = table[np.lexsort((table[:, 1], table[:, 0]))]
-        self.end, self.word, self.start, self.piece = table.T
+    def __init__(self, words: list[str], pieces: Pieces) -> None:
         self.lengths = np.array([len(word) for word in words], dtype=np.int64)
         self.longest = int(self.lengths.max(initial=0))
+        codes = _codes("".join(words))
+        ends = np.cumsum(self.lengths)
+        word = np.repeat(np.arange(len(words)), self.lengths)
+        place = np.arange(len(codes)) - np.repeat(ends - self.lengths, self.lengths)
+        at, hashes, found = np.arange(len(codes)), np.zeros(len(codes), np.uint64), []
+        for length in range(1, PIECE + 1):
+            inside = at + length <= ends[word[at]]
+            at, hashes = at[inside], hashes[inside]
+            if not len(at):
+                break
+            hashes = _longer(hashes, codes[at + length - 1])
+            piece = pieces.find(hashes, length)
+            if length == 1:
+                piece = np.where(piece < 0, pieces.size, piece)
+            hit = piece >= 0
+            begin = at[hit]
+            found.append((place[begin] + length, word[begin], place[begin], piece[hit]))
+        if not found:
+            found = [(np.zeros(0, np.int64),) * 4]
+        end, of, start, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((of, end))
+        self.end, self.word, self.start, self.piece = end[order], of[order], start[order], piece[order]
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """``p``: languages by pieces.  Sums over segmentations of each prefix:
@@ -145,9 +187,14 @@ def _sweep(state, p, at, word, source, piece, places) -> None:
 class Model:
     """Languages, pieces and ``p``: languages by pieces, the last for letters that no piece has."""
 
-    def __init__(self, languages: list[str], pieces: dict[str, int], p: np.ndarray) -> None:
+    def __init__(self, languages: list[str], pieces: Pieces, p: np.ndarray) -> None:
         self.languages, self.pieces, self.p = languages, pieces, p
 
+    @cached_property
+    def predict(self):
+        """One predictor for all tasks of a worker process."""
+        return self.predictor()
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Logarithms of the probabilities: words by languages."""
         lattice = Lattice(words, self.pieces)
@@ -186,7 +233,7 @@ class Model:
 
 def learn(
     labelled: DataFrame,
-    pieces: dict[str, int],
+    pieces: Pieces,
     per_language: int = PER_LANGUAGE,
     rounds: int = ROUNDS,
 ) -> Model:
@@ -196,7 +243,7 @@ def learn(
     sizes = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], pieces, np.zeros((0, len(pieces) + 1)))
+        return Model([], pieces, np.zeros((0, pieces.size + 1)))
     shares = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / sizes[lang]))])
     draw = F.pmod(F.xxhash64(F.lit(9), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
     sample = known.where(draw < F.element_at(shares, F.col("lang"))).select("lang", "text")
@@ -215,7 +262,7 @@ def learn(
         .groupBy("word", "lang")
         .agg(F.sum("n").alias("n"))
     )
-    p = np.full((len(languages), len(pieces) + 1), 1.0 / (len(pieces) + 1))
+    p = np.full((len(languages), pieces.size + 1), 1.0 / (pieces.size + 1))
     number = {lang: k for k, lang in enumerate(languages)}
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast((pieces, p))
@@ -252,7 +299,7 @@ def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = sent.value.predictor()
+        known = sent.value.predict
         for batch in batches:
             rows: list[tuple[str, float]] = []
             for i in range(0, len(batch), 200):
@@ -268,7 +315,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def identify(docs: DataFrame, vocabulary_path: str = VOCABULARY) -> DataFrame:
     """``docs`` with ``__lang``, a struct ``(lang_pred, score)``, learned from two thirds of them."""
-    model = learn(training_rows(docs), vocabulary(vocabulary_path))
+    model = learn(training_rows(docs), Pieces(vocabulary(vocabulary_path)))
     return docs.withColumn("__lang", predicted(docs.sparkSession, model, F.col("text")))
 
 
