@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,21 @@ def shared_folder(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder below the shared one, and read again."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever they are named."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder."""
     shared_folder(df.sparkSession)

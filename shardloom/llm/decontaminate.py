@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import Query, lower_ascii, read, shingle_hashes, shingles, small, word_list
+from shardloom.llm.common import Query, columns_of, lower_ascii, read, shingle_hashes, shingles, small, word_list
 
 #: Words of a shingle, and the least share of an item's shingles, in percent.
 WORDS = 5
@@ -113,7 +113,7 @@ def find_items(
 def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` but for those in which an item is found."""
     found = small(find_items(docs, items).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found, "doc_id", "left_anti").select(columns_of(docs))
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import Query, cut, fold, read
+from shardloom.llm.common import Query, columns_of, cut, fold, read
 from shardloom.llm.grams import mix
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -322,7 +322,7 @@ def identify(docs: DataFrame, vocabulary_path: str = VOCABULARY) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those of no language or with a score under ``least``."""
     kept = (F.col("__lang.lang_pred") != UNDECIDED) & (F.col("__lang.score") >= least)
-    return identify(docs).where(kept).select(docs.columns)
+    return identify(docs).where(kept).select(columns_of(docs))
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import Query, cut, read, small
+from shardloom.llm.common import Query, columns_of, cut, read, small
 from shardloom.llm.components import components
 from shardloom.llm.grams import mix, run_hashes, word_bounds, word_hashes
 
@@ -252,7 +252,7 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: that with the smallest id."""
     gone = small(cluster(docs, words, percent).where("NOT kept").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(columns_of(docs))
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

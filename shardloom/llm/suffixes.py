@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.llm.common import Query, read
+from shardloom.llm.common import Query, columns_of, read
 from shardloom.llm.grams import byte_hashes
 from shardloom.llm.induced import induced
 from shardloom.llm.repeats import Kind, Units, find
@@ -103,7 +103,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     which nothing is left go; ``n_chars``, if there, is counted anew."""
     others = T.StructType([field for field in docs.schema.fields if field.name != "text"])
     packed = docs.select(
-        "doc_id", "text", F.to_json(F.struct(*[F.col(f"`{name}`") for name in others.names])).alias("rest")
+        "doc_id", "text", F.to_json(F.struct(*columns_of(docs.drop("text")))).alias("rest")
     )
     found = find(packed, KIND, _rewrite, "rest string, text string, was boolean", "rest")
     columns = {name: F.from_json("rest", others).getField(name) for name in others.names}
