@@ -199,7 +199,7 @@ def _sorted_stars(
         equal = np.zeros(len(stars) - 1, np.int64)
     elif len(firsts) <= LANES:
         with tempfile.TemporaryDirectory(dir=folder) as inner:
-            parts = list(induced(names, cap, inner, memory))[::-1]
+            parts = list(induced(names.astype(np.uint16), cap, inner, memory))[::-1]
         order, equal = (np.concatenate(x) for x in zip(*parts, strict=True))
         equal = equal[1:].astype(np.int64)
     else:
@@ -249,7 +249,7 @@ def _pass_on(lanes: Lanes, suffixes, common, text, chosen, cap) -> None:
     at = at[chosen[left[at]] & (text[left[at]] != text[suffixes[at]])]
     if not len(at):
         return
-    symbols = text[left[at]].astype(np.int64)
+    symbols = text[left[at]]
     order = np.argsort(symbols, kind="stable")
     at, symbols = at[order], symbols[order]
     same = symbols[1:] == symbols[:-1]

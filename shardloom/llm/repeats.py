@@ -129,6 +129,13 @@ def _cells(values: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(cell), order[bounds[cell] : bounds[cell + 1]]
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _joined(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
     """Stretches of windows, touching ones made one."""
     order = np.lexsort((first, row))
@@ -182,7 +189,7 @@ def find(
         twice = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *often]))
         rows = []
         for batch, a, b in zip(bucket["from_batch"], once, often, strict=True):
-            answer = np.r_[a[np.isin(a, twice, kind="sort")], b]
+            answer = np.r_[a[_among(a, twice)], b]
             if len(answer):
                 rows.append((batch, bucket["bucket"].iloc[0], answer.tobytes()))
         return pd.DataFrame(rows, columns=["to_batch", "bucket", "answer"])
@@ -205,8 +212,7 @@ def find(
         owner, block, uses, known = [], [], [], []
         for p in pieces(kind, texts):
             own = key(p.anchor)
-            at = np.minimum(np.searchsorted(live, own), len(live) - 1)
-            chosen = np.flatnonzero(live[at] == own)
+            chosen = np.flatnonzero(_among(own, live))
             blocks = mix(p.anchor[chosen]) % np.uint64(n_blocks)
             spans = p.last[chosen] - p.first[chosen]
             for row, first, span, place, to in zip(
@@ -227,9 +233,10 @@ def find(
             rows.append((n_blocks + number % n_blocks, True, _pack(*_joined(*np.array(known).T))))
         names = list(contents)
         use = np.array(uses, dtype=np.int64).reshape(-1, 3)
-        use = use[np.argsort(use[:, 0], kind="stable")]
-        for to, at in _cells(np.array(block, dtype=np.int64), n_blocks):
-            own = use[np.isin(use[:, 0], at, kind="sort")]
+        of_content = np.array(block, dtype=np.int64)
+        uses_of = dict(_cells(of_content[use[:, 0]], n_blocks))
+        for to, at in _cells(of_content, n_blocks):
+            own = use[uses_of[to]]
             own[:, 0] = np.searchsorted(at, own[:, 0])
             rows.append((to, False, _pack([names[i] for i in at], [owner[i] for i in at], own)))
         out = pd.DataFrame(rows, columns=["block", "known", "data"])
