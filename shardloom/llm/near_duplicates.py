@@ -12,8 +12,9 @@ pairs within the distance share a key.  None is lost.
 
 A group of nodes that share a key is not expanded into pairs: first every node meets the node of its
 group with the most company (the middle of a cluster of copies), links are verified on the full
-sets, and groups that are one component by then are done.  What is left meets across components
-only; such pairs are verified too, so components are those of all links.
+sets, and groups that are one component by then are done.  Nodes of the other groups meet across
+components only, and only if the rare shingles of their sets leave them a chance; such pairs are
+verified too, so components are those of all links.
 
 Defined results: null and empty texts, and those without words, have no shingles and no links; texts
 with fewer words than a shingle are one shingle; repeated rows are rows of one node; rows without an
@@ -71,6 +72,12 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mix(least) >> np.uint64(48)).astype(np.uint16)
 
 
+def node_of(shingles: np.ndarray) -> int:
+    """One number for a set."""
+    number = mix(shingles.sum(keepdims=True) + mix(np.array([len(shingles)], np.uint64)))
+    return int(number.view(np.int64)[0])
+
+
 def sketch(docs: DataFrame, words: int) -> DataFrame:
     """``(doc_id, n_shingles, node, signature)``; node and signature are null without shingles."""
 
@@ -80,8 +87,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
             for text in batch["text"]:
                 found = shingle_set(text, words)
                 if len(found):
-                    node = mix(found.sum(keepdims=True) + mix(np.array([len(found)], np.uint64)))
-                    rows.append((len(found), int(node.view(np.int64)[0]), signature(found).tobytes()))
+                    rows.append((len(found), node_of(found), signature(found).tobytes()))
                 else:
                     rows.append((0, None, None))
             out = pd.DataFrame(rows, columns=["n_shingles", "node", "signature"])
@@ -149,33 +155,78 @@ def _sides(nodes: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def verify(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, distance: int
-) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose full sets are similar enough."""
-    of_a, of_b = _sides(nodes, "signature", "n")
-    ratio = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    near = cut(
-        pairs.join(of_a, "a").join(of_b, "b").where(ratio).where(_apart() <= distance).select("a", "b", "n_a", "n_b")
-    )
-    wanted = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``(node, set)`` of the nodes ``wanted``, from their texts."""
     ids = small(nodes.join(wanted, "node").select("doc_id", F.col("node").alias("of_node")))
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame(
-                {"node": batch["of_node"], "set": [shingle_set(text, words).tobytes() for text in batch["text"]]}
-            )
+            rows = []
+            for node, text in zip(batch["of_node"], batch["text"], strict=True):
+                found = shingle_set(text, words)
+                # Another row may have the same id and another text.
+                if len(found) and node_of(found) == node:
+                    rows.append((node, found.tobytes()))
+            yield pd.DataFrame(rows, columns=["node", "set"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("of_id"), "text")
-    sets = (
+    return cut(
         texts.join(ids, F.col("of_id").eqNullSafe(F.col("doc_id")))
         .select("of_node", "text")
         .mapInPandas(measured, "node long, set binary")
+        .dropDuplicates(["node"])
     )
-    sets = sets.join(nodes.select(F.col("node").alias("is_node"), "n"), F.col("node") == F.col("is_node"))
-    # Rows that repeat an id with another text are told by the size of their set.
-    sets = cut(sets.where(F.octet_length("set") == F.col("n") * 8).dropDuplicates(["node"]).select("node", "set"))
+
+
+def _meeting_across(
+    open_nodes: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Pairs ``(a, b)`` of open nodes of different components that can be similar enough.
+
+    Shingles of a set are ordered from rare to frequent.  The first one that two sets share leaves
+    so many at most to share in either set; both must suffice.  Hence only the first ``100 -
+    percent`` percent of a set can hold it, and members of a cluster that differ from its middle by
+    too many shingles of their own meet nobody on the shingles of the middle.
+    """
+    rows = _sets(open_nodes.select("node"), nodes, docs, words).join(open_nodes, "node")
+
+    @F.pandas_udf("array<long>")
+    def listed(sets: pd.Series) -> pd.Series:
+        return pd.Series([np.frombuffer(x, np.int64) for x in sets])
+
+    place = F.row_number().over(Window.partitionBy("node").orderBy("seen", "shingle"))
+    first = (
+        rows.select("node", "root", (F.octet_length("set") / 8).cast("long").alias("n"), F.explode(listed("set")).alias("shingle"))
+        .withColumn("seen", F.count(F.lit(1)).over(Window.partitionBy("shingle")))
+        .withColumn("place", place)
+        .where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & (F.col("seen") > 1))
+    )
+    first = cut(first.select("shingle", "node", "root", "n", "place"))
+    x, y = (first.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "place")]) for s in "xy")
+    all_of = F.col("n_x") + F.col("n_y")
+
+    def enough(side: str) -> Column:
+        return (F.col(f"n_{side}") - F.col(f"place_{side}") + 1) * (100 + percent) >= all_of * percent
+
+    return (
+        x.join(y, "shingle")
+        .where((F.col("root_x") < F.col("root_y")) & enough("x") & enough("y"))
+        .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+        .distinct()
+    )
+
+
+def verify(
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, distance: int
+) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose full sets are similar enough."""
+    of_a, of_b = _sides(nodes, "signature", "n")
+    ratio = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    near = cut(
+        pairs.join(of_a, "a").join(of_b, "b").where(ratio).where(_apart() <= distance).select("a", "b", "n_a", "n_b")
+    )
+    wanted = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(wanted, nodes, docs, words)
     set_a, set_b = _sides(sets, "set")
     both = near.join(set_a, "a").join(set_b, "b").withColumn("common", _common())
     return both.where(
@@ -217,20 +268,15 @@ def link(
     roots = components(links)
     # What still meets across components.
     labelled = shared.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_groups = cut(
+    open_nodes = cut(
         labelled.withColumn("low", F.min("root").over(by_key))
         .withColumn("high", F.max("root").over(by_key))
         .where("low < high")
-        .select("key", "node", "root")
-    )
-    left = open_groups.select("key", F.col("node").alias("x"), F.col("root").alias("root_x"))
-    right = open_groups.select("key", F.col("node").alias("y"), F.col("root").alias("root_y"))
-    across = (
-        left.join(right, "key")
-        .where("root_x < root_y")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .select("node", "root")
         .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    )
+    across = cut(
+        _meeting_across(open_nodes, nodes, docs, words, percent).join(first, ["a", "b"], "left_anti")
     )
     more = verify(across, nodes, docs, words, percent, distance)
     return rows, components(links.unionByName(more))
