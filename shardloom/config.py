@@ -58,16 +58,22 @@ def resolve_config(
 ) -> SnapshotConfig:
     """Fill what the caller left out from ``<prefix>.*`` keys.
 
-    A key is looked up as is, then with the ``spark.hadoop.`` prefix.  The write-specific
+    A key is looked up in the session as is, then with the ``spark.hadoop.`` prefix, then in the
+    Hadoop configuration.  The write-specific
     name key wins over the general one.
     """
 
+    hadoop = spark._jsparkSession.sessionState().newHadoopConf()
+
     def key(name: str) -> str:
         return name if name == OUTPUT_DIR else f"{prefix}.{name}"
 
     def look_up(name: str) -> str | None:
         value = spark.conf.get(key(name), None)
-        return spark.conf.get(HADOOP_PREFIX + key(name), None) if value is None else value
+        if value is None:
+            value = spark.conf.get(HADOOP_PREFIX + key(name), None)
+        # Last, what only the Hadoop configuration has (core-site.xml, or set on it at run time).
+        return hadoop.get(key(name)) if value is None else value
 
     def need(value: Any, what: str, *names: str) -> Any:
         for name in names:
@@ -75,24 +81,26 @@ def resolve_config(
         if value is None or value == "":
             keys = " or ".join(key(name) for name in names)
             raise ValueError(
-                f"{keys} missing from the configuration: set it to the {what}, "
-                f"if need be with the prefix {HADOOP_PREFIX}"
+                f"cannot write: no {what}. Pass it to resolve_config, or set {keys} in the session, "
+                f"as it is or after {HADOOP_PREFIX}"
             )
         return value
 
-    shards = need(num_shards, "number of shards in the index", NUMBER_OF_SHARDS)
+    shards = need(num_shards, "shard count", NUMBER_OF_SHARDS)
     try:
         shards = int(shards)
     except ValueError:
-        raise ValueError(f"{key(NUMBER_OF_SHARDS)} must be a valid number >= 1") from None
+        raise ValueError(
+            f"cannot use {shards!r} of {key(NUMBER_OF_SHARDS)} as shard count: whole numbers >= 1 only"
+        ) from None
     return SnapshotConfig(
         output_dir=need(
             output_dir,
-            "snapshot output root directory (job id and index name are added)",
+            "folder to put the snapshot under",
             OUTPUT_DIR,
         ),
-        index_name=need(index_name, "index name", RESOURCE_WRITE, RESOURCE),
-        mapping=need(mapping, "index field mapping (all fields must be declared)", MAPPING),
+        index_name=need(index_name, "name for the index", RESOURCE_WRITE, RESOURCE),
+        mapping=need(mapping, "mapping that declares the fields", MAPPING),
         num_shards=shards,
         id_field=id_field or look_up(ID_FIELD) or DEFAULT_ID_FIELD,
     )

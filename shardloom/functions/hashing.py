@@ -32,6 +32,11 @@ WORD = 0xFFFFFFFF
 SPARK_SEED = 42
 
 
+INVERSES = {
+    c: pow(c, -1, 1 << 32) for c in (BLOCK_1, BLOCK_2, MIX_1, MIX_2, BLOCK_MULTIPLIER)
+}
+
+
 def _signed(word: int) -> int:
     return word - (1 << 32) if word >> 31 else word
 
@@ -42,9 +47,7 @@ def _rotate(word: int, bits: int) -> int:
 
 def int_hashing_to(value: int) -> int:
     """The INT whose ``hash`` in Spark is ``value``: the hash of an INT is one-to-one."""
-    inverse = {
-        c: pow(c, -1, 1 << 32) for c in (BLOCK_1, BLOCK_2, MIX_1, MIX_2, BLOCK_MULTIPLIER)
-    }
+    inverse = INVERSES
     h = value & WORD
     h = (h ^ h >> 16) * inverse[MIX_2] & WORD
     h = (h ^ h >> 13 ^ h >> 26) * inverse[MIX_1] & WORD
@@ -85,6 +88,10 @@ def _xor_shift(word: Column, *shifts: int) -> Column:
     return mixed
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def with_routing_hash(df: DataFrame, id_column: str = "_id", output: str = "hash") -> DataFrame:
     """Add the signed 32-bit routing hash of ``id_column`` as INT column ``output``.
 
@@ -94,7 +101,7 @@ def with_routing_hash(df: DataFrame, id_column: str = "_id", output: str = "hash
     filter on a generated column below it; moved below the projections, a filter on the hash
     (the null check of a join, say) would be just that nested expression.
     """
-    kept = [F.col(f"`{name}`") for name in df.columns if name != output]
+    kept = [_quoted(name) for name in df.columns if name != output]
     word, size, whole = "__route_word", "__route_size", "__route_whole"
 
     def step(frame: DataFrame, value: Column) -> DataFrame:
@@ -103,7 +110,7 @@ def with_routing_hash(df: DataFrame, id_column: str = "_id", output: str = "hash
     w = F.col(word)
     inverse = {c: pow(c, -1, 1 << 32) for c in (MIX_1, MIX_2, BLOCK_MULTIPLIER)}
 
-    out = df.withColumn(word, F.encode(F.col(f"`{id_column}`"), "UTF-16LE"))
+    out = df.withColumn(word, F.encode(_quoted(id_column), "UTF-16LE"))
     out = out.withColumn(size, F.octet_length(w).cast("bigint"))
     padded = F.when(F.col(size) % 4 == 0, w).otherwise(F.concat(w, F.lit(bytes(2))))
     out = out.withColumn(whole, F.hash(F.lit(SEED_ZERO), padded))

@@ -175,12 +175,17 @@ def _from_text(node: _Object, name: str) -> Column:
         return _date_from_text(text)
     plain = text.try_cast(dtype)
     if declared in REAL_NUMBERS:
-        return plain
+        return F.when(_finite(plain), plain)
     fraction = ~kind.isin("STRING", "BOOLEAN")
     cut = F.try_variant_get(node.member_variant(name), "$", dtype.simpleString())
     return F.when(text.isNull() | plain.isNotNull(), plain).when(fraction, cut)
 
 
+def _finite(value: Column) -> Column:
+    """False for infinities and, as it is larger than all others, for NaN."""
+    return F.abs(value) < float("inf")
+
+
 def _date_from_text(text: Column) -> Column:
     """An ISO date or time, a year, or milliseconds since 1970 (any whole number but a year)."""
     millis = text.rlike(r"^-?\d+$") & (F.length(text) != 4)
@@ -401,6 +406,9 @@ def _row_value(
     dtype = field_type(spec, path)
     is_text = isinstance(source, (T.StringType, T.CharType, T.VarcharType))
     is_number = isinstance(source, T.NumericType)
+    if declared in REAL_NUMBERS and isinstance(source, (T.DoubleType, T.FloatType)):
+        typed = value.cast(dtype)
+        return typed, [(path, value.isNotNull() & ~_finite(typed))]
     if source == dtype or isinstance(source, T.NullType):
         return value.cast(dtype), []
     if declared in STRINGS:
@@ -416,7 +424,8 @@ def _row_value(
         return typed, [(path, value.isNotNull() & typed.isNull())]
     if declared in WHOLE_NUMBERS + REAL_NUMBERS and (is_text or is_number):
         typed = value.try_cast(dtype)
-        return typed, [(path, value.isNotNull() & typed.isNull())]
+        fits = typed.isNotNull() & _finite(typed) if declared in REAL_NUMBERS else typed.isNotNull()
+        return typed, [(path, value.isNotNull() & ~fits)]
     raise refused
 
 

@@ -13,7 +13,9 @@ JSON_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
-NOT_AN_OBJECT = " is not a JSON object with distinct keys"
+NOT_AN_OBJECT = (
+    " is not a JSON object with distinct keys, or holds a string of more than 20 million characters"
+)
 
 
 def column(name: str) -> Column:

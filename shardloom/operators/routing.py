@@ -52,8 +52,9 @@ def spread(df: DataFrame, num_shards: int, part: Column, shard_column: str = "sh
     spark = df.sparkSession
     partitions = shuffle_partitions(spark)
     turn = F.col(shard_column) * parts_per_shard(spark, num_shards) + part
-    keys = F.lit([int_hashing_to(partition) for partition in range(partitions)])
-    key = F.get(keys, F.pmod(turn, F.lit(partitions)))
+    # One literal text, split once when the plan is optimized: thousands of literals take seconds.
+    keys = F.split(F.lit(" ".join(str(int_hashing_to(n)) for n in range(partitions))), " ")
+    key = F.get(keys, F.pmod(turn, F.lit(partitions))).cast("int")
     keyed = df.withColumn("__turn", key)
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
         shuffled = keyed.hint("rebalance", partitions, "__turn")

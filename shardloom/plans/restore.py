@@ -18,8 +18,8 @@ from shardloom.operators.search import DEFAULT_SIZE, match_query
 from shardloom.plans.search_tables import read_postings, read_stats, slices_for, write_postings
 from shardloom.plans.write import docs_path, docs_schema, manifest_path
 
-# Fixed value: pages up to this size are fetched by literal ids.
-MAX_PAGE = 10_000
+# Texts of any length, or an error: a text that cannot be parsed must not look like none.
+PARSER = {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
 
 MANIFEST_SCHEMA = (
     "index_name string, index_uuid string, snapshot string, generation int, num_shards int, "
@@ -34,7 +34,7 @@ class MissingManifestError(FileNotFoundError):
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One row per shard; a directory without a committed manifest is an error."""
-    if not path_exists(spark, manifest_path(path)):
+    if not path_exists(spark, f"{manifest_path(path)}/_SUCCESS"):
         raise MissingManifestError(
             f"no snapshot manifest under {path}: did the job that writes it complete?"
         )
@@ -97,7 +97,7 @@ class Snapshot:
         """
         mapping = self.mapping
         texts = [T.StructField(name, T.StringType()) for name in text_fields(mapping)]
-        parsed = F.from_json("source", T.StructType(texts)) if texts else None
+        parsed = F.from_json("source", T.StructType(texts), PARSER) if texts else None
         fields = [
             F.col("fields").getField(field.name).alias(field.name)
             for field in stored_fields(mapping).fields
@@ -123,22 +123,21 @@ class Snapshot:
             .limit(size)
             .select("shard", "_id", F.lit(1.0).alias("_score"))
         )
-        return self._fetch(page, size).orderBy("shard", "_id").drop("shard")
+        return self._fetch(page).orderBy("shard", "_id").drop("shard")
 
-    def _fetch(self, page: DataFrame, size: int) -> DataFrame:
+    def _fetch(self, page: DataFrame) -> DataFrame:
         """``(shard, _index, _id, _score, _source)`` of the hits on a page.
 
-        A page of usual size is brought to the driver first, so that the documents are read by
-        shard and id: other shards are pruned, and the id ranges of the files skip the rest.
+        A page, of whatever size was asked for, is brought to the driver first (ids and scores
+        only), so that the documents are read by shard and id: other shards are pruned, and Bloom
+        filters and id ranges of the files skip row groups.  All documents are ``documents()``.
         """
-        stored = self.stored_documents().select("shard", "_id", "source")
-        if size <= MAX_PAGE:
-            found = page.toArrow()
-            page = self.spark.createDataFrame(found)
-            stored = stored.where(
-                F.col("shard").isin(found["shard"].unique().to_pylist())
-                & F.col("_id").isin(found["_id"].to_pylist())
-            )
+        found = page.toArrow()
+        page = self.spark.createDataFrame(found)
+        stored = self.stored_documents().select("shard", "_id", "source").where(
+            F.col("shard").isin(found["shard"].unique().to_pylist())
+            & F.col("_id").isin(found["_id"].to_pylist())
+        )
         return stored.join(page, ["shard", "_id"]).select(
             "shard",
             F.lit(self.index_name).alias("_index"),
@@ -217,4 +216,4 @@ class Snapshot:
         terms = query_terms(self.spark, text)
         post = read_postings(self.spark, self.path, field, terms)
         best = match_query(post, read_stats(self.spark, self.path, field), terms, size)
-        return self._fetch(best, size).orderBy(F.desc("_score"), "_id").drop("shard")
+        return self._fetch(best).orderBy(F.desc("_score"), "_id").drop("shard")

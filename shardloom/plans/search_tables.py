@@ -18,7 +18,7 @@ from shardloom.config import path_exists
 from shardloom.operators.postings import field_stats, postings
 from shardloom.operators.routing import parts_per_shard, spread
 
-# Fixed value: documents per slice of a shard.
+# Fixed value: bytes of documents per slice of a shard.
 SLICE_BYTES = 64 << 20
 
 POSTINGS_SCHEMA = (
@@ -73,7 +73,7 @@ def write_postings(
 def read_stats(spark: SparkSession, path: str, field: str) -> DataFrame:
     """One row ``(doc_count, sum_tokens, avg_len, slices)``."""
     stats = f"{field_path(path, field)}/stats"
-    if not path_exists(spark, stats):
+    if not path_exists(spark, f"{stats}/_SUCCESS"):
         raise FileNotFoundError(f"no search tables for field {field} under {path}: write them first")
     return spark.read.schema(STATS_SCHEMA).json(stats)
 

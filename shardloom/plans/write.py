@@ -217,7 +217,9 @@ def _commit(
         checked.alias("source"),
         *([] if typed is None else [typed.alias("fields")]),
         "shard",
-    ).write.mode("errorifexists").partitionBy("shard").parquet(docs_path(path))
+    ).write.mode("errorifexists").option("parquet.bloom.filter.enabled#_id", "true").partitionBy(
+        "shard"
+    ).parquet(docs_path(path))
 
     stored = docs.sparkSession.read.schema(docs_schema(config.mapping)).parquet(docs_path(path))
     if not unique:

@@ -106,10 +106,10 @@ def test_hadoop_prefix_and_own_prefix(spark, conf):
 @pytest.mark.parametrize(
     ("missing", "message"),
     [
-        ("mapreduce.output.fileoutputformat.outputdir", "outputdir missing .*spark.hadoop."),
-        ("shardloom.resource", "resource.write or shardloom.resource missing"),
-        ("shardloom.number_of_shards", "number_of_shards missing"),
-        ("shardloom.mapping", "shardloom.mapping missing"),
+        ("mapreduce.output.fileoutputformat.outputdir", "folder .*outputdir in the session, .*spark.hadoop."),
+        ("shardloom.resource", "name .*resource.write or shardloom.resource "),
+        ("shardloom.number_of_shards", "shard count.*number_of_shards "),
+        ("shardloom.mapping", "mapping .*shardloom.mapping "),
     ],
 )
 def test_missing_settings(spark, conf, missing, message):
@@ -118,6 +118,26 @@ def test_missing_settings(spark, conf, missing, message):
         sl.resolve_config(spark)
 
 
+def test_keys_of_the_hadoop_configuration(spark, conf):
+    conf(**{k: v for k, v in KEYS.items() if k != "shardloom.mapping"})
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("shardloom.mapping", KEYS["shardloom.mapping"])
+    try:
+        assert sl.resolve_config(spark).mapping == sl.normalize_mapping(KEYS["shardloom.mapping"])
+    finally:
+        hadoop.unset("shardloom.mapping")
+
+
+@pytest.mark.parametrize("value", ["NaN", "Infinity", "-Infinity", "1e400"])
+def test_reals_are_finite(spark, folder, value):
+    mapping = {"properties": {"n": {"type": "double"}}}
+    docs = spark.createDataFrame([("d0", json.dumps({"n": value}))], "_id string, source string")
+    assert sl.nonconforming_fields(docs, mapping).count() == 1
+    row = spark.createDataFrame([("d0", float(value))], "_id string, n double")
+    with pytest.raises(PySparkException, match="document d0 does not fit the mapping in n"):
+        sl.write_snapshot(row, folder, "reals", mapping, 1)
+
+
 @pytest.mark.parametrize("shards", ["0", "-2", "many"])
 def test_bad_shard_counts(spark, conf, shards):
     conf(**{**KEYS, "shardloom.number_of_shards": shards})

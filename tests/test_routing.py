@@ -173,3 +173,23 @@ def test_verify_routing_finds_misplaced_rows(spark):
     df = spark.createDataFrame([("id1", 1), ("id2", 0), ("id3", None)], "_id string, shard int")
     wrong = {r["_id"]: r["expected_shard"] for r in sl.verify_routing(df, 2).collect()}
     assert wrong == {"id2": 1, "id3": 0}
+
+
+def test_column_names_with_backticks(spark):
+    df = spark.range(3).selectExpr("concat('id', id) as `a``b`", "id as `x.y`")
+    assert sl.with_shard(df, 2, "a`b").columns == ["a`b", "x.y", "shard"]
+
+
+def test_keys_of_many_partitions_cost_little(spark):
+    import time
+
+    from shardloom.operators.routing import spread
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
+    try:
+        start = time.time()
+        spread(spark.range(1).selectExpr("0 as shard"), 2, F.lit(0))
+        assert time.time() - start < 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
