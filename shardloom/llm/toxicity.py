@@ -68,9 +68,9 @@ def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
         k = bisect_left(second, i - NEAR)
         near += k < len(second) and second[k] <= i + NEAR
     broken = [token for token in tokens if not token.isalpha() and BROKEN.search(token)]
-    hidden = sum(
-        word in lexicon for token in broken for word in LETTERS.findall(token.lower().translate(LOOKALIKES))
-    )
+    # Marks around a token are marks, those inside it stand for letters.
+    plain = (token.lower().strip("!|+.,;:?()").translate(LOOKALIKES) for token in broken)
+    hidden = sum(word in lexicon for token in plain for word in LETTERS.findall(token))
     capitals = sum(map(str.isupper, text)) if low != text else 0
     shouted = sum(len(token) > 2 and token.isupper() for token in tokens) if capitals else 0
     marks = text.count("!") + text.count("?")
