@@ -7,28 +7,31 @@ buckets stay small.  A query looks into the ``probes`` nearest buckets of each o
 (multiprobe).  What it meets there is ranked by the exact inner product of the original vectors, in
 double precision; each bucket passes on no more than ``k`` for a query.
 
-Largest inner product, not angle: where lengths differ, indexed vectors get one more component that
-makes all lengths equal, which keeps the order of inner products.
+Largest inner product, not angle: tables hash directions, and the index is cut into bands of similar
+length, each with tables for its size, which every query looks into.  A band of up to ``EXACT``
+vectors, of whatever lengths, has one bucket.  Queries that meet fewer than ``k`` others are
+compared with all vectors.
 
-Work is dealt by (table, bucket, part): a bucket of more than ``PART`` vectors is cut into parts,
+Work is dealt by (band, table, bucket, part): a bucket of more than ``PART`` vectors is cut into parts,
 and its queries visit each, so a hot bucket is no hot task.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, neither do rows without an id; shorter vectors count as filled up with zeros; of repeated ids
 each other id is returned once, with its best score, and a vector never finds its own id; a query
-has fewer than ``k`` rows only if fewer are found.  Other columns are ignored.
+has fewer than ``k`` rows only if there are fewer other ids.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import Query, read, small
+from shardloom.llm.common import Query, cut, read, small
 
 K = 20
 TABLES = 10
@@ -38,6 +41,13 @@ PROBES = 8
 BUCKET = 1024
 PART = 4096
 
+#: Largest ratio of lengths in a band, and vectors in a band that is searched as a whole.
+RATIO = 1.2
+EXACT = 2048
+
+#: Lengths that overflow count as this one.
+LONGEST = float(np.finfo(np.float64).max)
+
 #: Probes grow as the number of vertices of the second polytope to this power.
 MORE_PROBES = 0.8
 
@@ -45,12 +55,11 @@ MORE_PROBES = 0.8
 @dataclass(frozen=True)
 class Tables:
     """``padded``: dimensions after padding to a power of two; ``first``, ``second``: axes of the
-    two polytopes (``second`` may be 0); ``longest``: length to fill up to, or None."""
+    two polytopes (``second`` may be 0)."""
 
     padded: int
     first: int
     second: int
-    longest: float | None
     tables: int
     probes: int
 
@@ -105,14 +114,41 @@ def _power(n: float) -> int:
     return 1 << (int(n).bit_length() - 1) if n >= 1 else 0
 
 
-def plan(n: int, dims: int, shortest: float, longest: float, tables: int, probes: int) -> Tables:
-    fill = longest > shortest * (1 + 1e-5)
-    padded = 1 << max(dims + fill - 1, 1).bit_length()
+def plan(n: int, dims: int, tables: int, probes: int) -> Tables:
+    padded = 1 << max(dims - 1, 1).bit_length()
     first = min(max(_power(n / 128), 4), padded)
     second = min(_power(n / (2 * first * BUCKET) / 2), padded)
     if second:
         probes = round(probes * (2 * second) ** MORE_PROBES)
-    return Tables(padded, first, second, longest if fill else None, tables, probes)
+    return Tables(padded, first, second, tables, probes)
+
+
+@dataclass(frozen=True)
+class Band:
+    """Steps of length from ``begin`` on, up to the next band; ``way`` is None where one bucket
+    holds all; codes count from ``offset``."""
+
+    begin: int
+    way: Tables | None
+    offset: int
+
+
+def bands(steps: list[tuple[int, int]], dims: int, tables: int, probes: int) -> list[Band]:
+    """Bands of ``steps``, ``(step, vectors)`` in order: a step of its own has tables, unless it is
+    small; small ones in a row share a bucket."""
+    groups: list[list[int]] = []
+    for i, (step, n) in enumerate(steps):
+        if i and groups[-1][1] + n <= EXACT:
+            groups[-1][1] += n
+        else:
+            groups.append([step, n])
+    found, offset = [], 0
+    for begin, n in groups:
+        # One band of equal lengths is hashed whatever its size.
+        way = plan(n, dims, tables, probes) if n > EXACT or len(steps) == 1 else None
+        found.append(Band(begin, way, offset))
+        offset += way.tables * way.buckets if way else 1
+    return found
 
 
 def stacked(vectors: pd.Series, dims: int) -> np.ndarray:
@@ -135,21 +171,32 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _coded(rows: DataFrame, way: Tables, dims: int, as_query: bool) -> DataFrame:
-    """A row for each code."""
+def _directions(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
-    @F.pandas_udf("array<int>")
-    def coded(vectors: pd.Series, lengths: pd.Series) -> pd.Series:
-        x = stacked(vectors, dims)
-        if way.longest is not None:
-            rest = np.zeros(len(x)) if as_query else np.sqrt(np.maximum(way.longest**2 - lengths.to_numpy() ** 2, 0))
-            x = np.column_stack([x, rest])
-        found = []
-        for i in range(0, len(x), 1024):
-            found += list(way.codes(x[i : i + 1024], way.probes if as_query else 1))
-        return pd.Series(found)
 
-    return rows.select("vec_id", "embedding", F.explode(coded("embedding", "length")).alias("code"))
+def _coded(rows: DataFrame, found: list[Band], dims: int, as_query: bool) -> DataFrame:
+    """A row for each code: of the own band, for queries of all bands."""
+
+    @F.pandas_udf("array<long>")
+    def coded(vectors: pd.Series, steps: pd.Series) -> pd.Series:
+        x = _directions(stacked(vectors, dims))
+        band_of = np.searchsorted([band.begin for band in found], steps.to_numpy(), side="right") - 1
+        codes: list[list[np.ndarray]] = [[] for _ in range(len(x))]
+        for number, band in enumerate(found):
+            own = np.arange(len(x)) if as_query else np.flatnonzero(band_of == number)
+            for i in range(0, len(own), 1024):
+                at = own[i : i + 1024]
+                if band.way is None:
+                    some = np.zeros((len(at), 1), np.int64)
+                else:
+                    some = band.way.codes(x[at], band.way.probes if as_query else 1)
+                for row, code in zip(at.tolist(), some + band.offset, strict=True):
+                    codes[row].append(code)
+        return pd.Series([np.concatenate(c) for c in codes])
+
+    return rows.select("vec_id", "embedding", F.explode(coded("embedding", "step")).alias("code"))
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -165,60 +212,80 @@ def nearest(
     probes: int = PROBES,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found for each query row."""
-    rows = usable(vectors)
-    seen = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.size("embedding")).alias("dims"),
-        F.min("length").alias("shortest"),
-        F.max("length").alias("longest"),
-    ).first()
-    dims = seen["dims"] or 1
-    way = plan(seen["n"], dims, seen["shortest"] or 1.0, seen["longest"] or 1.0, tables, probes)
-    indexed = _coded(rows, way, dims, as_query=False)
-    parts = small(
-        indexed.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    )
-    part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
-    index_side = indexed.join(parts, "code").select(
-        F.col("code").alias("in_code"), part.alias("in_part"), F.col("vec_id").alias("vec_id"), F.col("embedding").alias("own")
-    )
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    query_side = (
-        _coded(rows.where(is_query), way, dims, as_query=True)
-        .join(parts, "code")
-        .select("code", every_part, F.col("vec_id").alias("query_id"), F.col("embedding").alias("wanted"))
-    )
-
+    rows = usable(vectors).withColumn("length", F.least("length", F.lit(LONGEST)))
+    seen = rows.agg(F.max(F.size("embedding")).alias("dims"), F.max("length").alias("longest")).first()
+    dims, longest = seen["dims"] or 1, seen["longest"] or 1.0
+    step = F.floor(F.greatest(F.log(F.lit(longest)) - F.log("length"), F.lit(0.0)) / log(RATIO))
+    rows = rows.withColumn("step", step.cast("int"))
+    counts = rows.groupBy("step").agg(F.count(F.lit(1)).alias("n")).orderBy("step").collect()
+    found_bands = bands([(row["step"], row["n"]) for row in counts], dims, tables, probes)
+    indexed = _coded(rows, found_bands, dims, as_query=False)
+    queries = rows.where(is_query)
     def rank(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(candidates):
             q, x = stacked(queries["wanted"], dims), stacked(candidates["own"], dims)
             q_ids, ids = queries["query_id"].to_numpy(), candidates["vec_id"].to_numpy()
+            # Rows of one id side by side: k different ids are passed on.
+            by_id = np.argsort(ids, kind="stable")
+            x, ids = x[by_id], ids[by_id]
+            firsts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
             for i in range(0, len(q), 256):
                 rough = q[i : i + 256] @ x.T
                 rough[q_ids[i : i + 256, None] == ids[None, :]] = -np.inf
-                if len(ids) > k:
+                if len(firsts) > k:
                     # A margin, as sums differ in their last digits with the order of addition.
-                    cuts = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k]
+                    of_ids = rough if len(firsts) == len(ids) else np.maximum.reduceat(rough, firsts, axis=1)
+                    cuts = np.partition(of_ids, len(firsts) - k, axis=1)[:, len(firsts) - k]
                     cuts = cuts - 1e-9 * np.maximum(np.abs(cuts), 1e-300)
                 else:
                     cuts = np.full(len(rough), -np.inf)
                 for row, (scores, least) in enumerate(zip(rough, cuts, strict=True)):
                     at = np.flatnonzero((scores >= least) & (scores > -np.inf))
                     exact = np.einsum("ij,j->i", x[at], q[i + row])
-                    best = best_of(exact, ids[at], k)
+                    best = best_of(exact, ids[at], len(at))
+                    best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])[:k]]
                     found.append((np.full(len(best), q_ids[i + row]), ids[at][best], exact[best]))
         columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [[], [], []]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
+    def searched(index: DataFrame, asking: DataFrame) -> DataFrame:
+        """Best scores of the pairs that meet under a code."""
+        parts = small(
+            index.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+        )
+        part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
+        index_side = index.join(parts, "code").select(
+            F.col("code").alias("in_code"), part.alias("in_part"), F.col("vec_id").alias("vec_id"), F.col("embedding").alias("own")
+        )
+        every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        query_side = asking.join(parts, "code").select(
+            "code", every_part, F.col("vec_id").alias("query_id"), F.col("embedding").alias("wanted")
+        )
+        return (
+            query_side.groupBy("code", "part")
+            .cogroup(index_side.groupBy("in_code", "in_part"))
+            .applyInPandas(rank, "query_id long, vec_id long, score double")
+            .groupBy("query_id", "vec_id")
+            .agg(F.max("score").alias("score"))
+        )
+
+    met = cut(searched(indexed, _coded(queries, found_bands, dims, as_query=True)))
+    # Those with fewer than k others meet all.
+    ids = rows.select("vec_id").distinct().count()
+    enough = met.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(k, ids - 1))
+    short = small(
+        queries.select("vec_id").distinct().join(enough, F.col("vec_id") == F.col("query_id"), "left_anti")
+    )
+    if short.isEmpty():
+        scored = met
+    else:
+        whole = rows.select("vec_id", "embedding", F.lit(0).cast("long").alias("code"))
+        again = searched(whole, queries.select("vec_id", "embedding", F.lit(0).cast("long").alias("code")).join(short, "vec_id"))
+        scored = met.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(again)
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        query_side.groupBy("code", "part")
-        .cogroup(index_side.groupBy("in_code", "in_part"))
-        .applyInPandas(rank, "query_id long, vec_id long, score double")
-        .groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(by_score))
+        scored.withColumn("rank", F.row_number().over(by_score))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

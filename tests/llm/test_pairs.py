@@ -118,6 +118,36 @@ def test_longer_vectors_win_by_inner_product(spark):
     assert len({(r["query_id"], r["vec_id"]) for r in found} & expected) / len(expected) >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["outlier", "lognormal"])
+def test_recall_where_lengths_differ(spark, lengths):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if lengths == "outlier":
+        x[1] *= 10
+    else:
+        x *= rng.lognormal(size=(len(x), 1))
+    x = x.astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    found = neighbours.nearest(vectors(spark, rows), F.col("vec_id") % 100 == 0).collect()
+    queries = np.arange(0, len(x), 100)
+    scores = x[queries].astype(float) @ x.T.astype(float)
+    scores[np.arange(len(queries)), queries] = -np.inf
+    best = np.argpartition(-scores, 20, axis=1)[:, :20]
+    expected = {(int(q), int(i)) for q, ids in zip(queries, best, strict=True) for i in ids}
+    assert len(found) == len(expected)
+    assert len({(r["query_id"], r["vec_id"]) for r in found} & expected) / len(expected) >= 0.9
+
+
+def test_queries_that_meet_too_few_are_compared_with_all(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, (v / np.linalg.norm(v)).tolist(), 0) for i, v in enumerate(rng.normal(size=(30, 64)) * 0.01 + np.eye(64)[0])]
+    rows[0] = (0, [-x for x in rows[0][1]], 0)
+    found = neighbours.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, tables=1, probes=1)
+    of_first = [tuple(x)[:3] for x in sorted(found.collect()) if x[0] == 0]
+    assert of_first == [x[:3] for x in nearest_by_force(rows) if x[0] == 0]
+
+
 def test_hadamard_is_orthonormal():
     h = neighbours.hadamard(np.eye(16))
     assert np.allclose(h @ h.T, np.eye(16))
