@@ -78,8 +78,16 @@ def node_of(shingles: np.ndarray) -> int:
     return int(number.view(np.int64)[0])
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, text)``: what rows are found again by."""
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
+    )
+
+
 def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, n_shingles, node, signature)``; node and signature are null without shingles."""
+    """``(doc_id, text_hash, n_shingles, node, signature)``; node and signature are null without
+    shingles."""
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -94,10 +102,11 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
             out["node"] = out["node"].astype("Int64")
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             out["doc_id"] = out["doc_id"].astype("Int64")
+            out.insert(1, "text_hash", batch["text_hash"].to_numpy())
             yield out
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(
-        sketched, "doc_id long, n_shingles long, node long, signature binary"
+    return _keyed(docs).mapInPandas(
+        sketched, "doc_id long, text_hash long, n_shingles long, node long, signature binary"
     )
 
 
@@ -155,23 +164,41 @@ def _sides(nodes: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _meeting(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``texts`` and the ``keys`` of the same id and text."""
+    return texts.join(
+        keys, (F.col("text_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id"))
+    )
+
+
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """``(node, set)`` of the nodes ``wanted``, from their texts."""
-    ids = small(nodes.join(wanted, "node").select("doc_id", F.col("node").alias("of_node")))
+    """``(node, set)`` of the nodes ``wanted``, from their texts.
+
+    A node's text is found by id and hash: rows of one id, or without an id, meet only the nodes of
+    their own text.
+    """
+    keys = small(
+        nodes.join(wanted, "node").select(
+            F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("node").alias("of_node")
+        )
+    )
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: set[int] = set()
         for batch in batches:
             rows = []
-            for node, text in zip(batch["of_node"], batch["text"], strict=True):
+            for node, text in zip(batch["of_node"].tolist(), batch["text"], strict=True):
+                if node in done:
+                    continue
                 found = shingle_set(text, words)
-                # Another row may have the same id and another text.
+                # Another text may have the same hash.
                 if len(found) and node_of(found) == node:
+                    done.add(node)
                     rows.append((node, found.tobytes()))
             yield pd.DataFrame(rows, columns=["node", "set"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("of_id"), "text")
     return cut(
-        texts.join(ids, F.col("of_id").eqNullSafe(F.col("doc_id")))
+        _meeting(_keyed(docs), keys)
         .select("of_node", "text")
         .mapInPandas(measured, "node long, set binary")
         .dropDuplicates(["node"])
@@ -237,17 +264,25 @@ def verify(
 def link(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, n_shingles, node)`` of every row, and ``(node, root)`` of linked nodes."""
+    """``(doc_id, text_hash, n_shingles, node)`` of every row, and ``(node, root)`` of linked nodes."""
     distance = distance_for(percent)
     rows = cut(sketch(docs, words))
     nodes = cut(
         rows.where(F.col("node").isNotNull())
         .groupBy("node")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("with_id"),
+            F.min("text_hash").alias("text_hash"),
             F.first("n_shingles").alias("n"),
             F.first("signature").alias("signature"),
         )
+        .select(
+            "node",
+            F.col("with_id.doc_id").alias("doc_id"),
+            F.coalesce("with_id.text_hash", "text_hash").alias("text_hash"),
+            "n",
+            "signature",
+        )
     )
     by_key = Window.partitionBy("key")
     shared = cut(

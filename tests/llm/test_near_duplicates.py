@@ -47,6 +47,16 @@ def test_components(spark, rows, words, percent):
     assert as_set(nd.cluster(clashing(documents(spark, rows)), words, percent)) == by_force(rows, words, percent)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_key_meet_their_own_text_only(spark, doc_id):
+    rows = [(doc_id, " ".join(f"t{i}w{j}" for j in range(40)), None, None, None) for i in range(30)]
+    docs = documents(spark, rows)
+    sketched = nd.sketch(docs, 5)
+    keys = sketched.selectExpr("doc_id AS of_id", "text_hash AS of_hash", "node AS of_node")
+    assert nd._meeting(nd._keyed(docs), keys).count() == len(rows)
+    assert nd._sets(sketched.select("node"), sketched, docs, 5).count() == len(rows)
+
+
 def test_one_of_each_keeps_columns(spark):
     docs = clashing(documents(spark))
     kept = nd.one_of_each(docs)
