@@ -4,7 +4,8 @@ A window is ``window`` consecutive units (words or bytes) of one document.  Its
 hash of the runs of ``run`` units inside it, so equal windows have equal anchors.  Neighbouring
 windows mostly have the same anchor; such a stretch of windows is a piece.
 
-1. Documents are dealt to batches of about ``BATCH_BYTES``, by a hash of the id.  Every batch sends
+1. Documents are dealt to batches of about ``BATCH_BYTES``, by a hash of id and text, so an id that
+   many rows have, or that they lack, fills no batch alone.  Every batch sends
    the anchors it has, as 4-byte hashes, to buckets; a bucket answers which ones more than one
    document has.
 2. Batches send the pieces whose anchors are shared to blocks, by the anchor: all equal windows meet
@@ -300,7 +301,7 @@ def find(
         return finish(ordered, texts, [np.cumsum(x[:-1]) > 0 for x in covered])
 
     batches = docs.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(n_batches)).alias("batch"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).alias("batch"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("text").cast("binary").alias("body"),
         *columns,

@@ -4,6 +4,7 @@ import hashlib
 import tempfile
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,6 +84,23 @@ def test_many_batches_and_blocks(spark, monkeypatch):
     assert as_set(suffixes.removed_strings(documents(spark, rows))) == strings_by_force(rows)
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_rows_of_one_id_fill_many_batches(spark, monkeypatch, doc_id):
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 2_000)
+    shared = " ".join(f"s{j}" for j in range(20))
+    rows = [(doc_id, f"{shared} " + " ".join(f"t{i}w{j}" for j in range(40)), None, None, None) for i in range(60)]
+    rows.append((1, shared, None, None, None))
+
+    def size(batch, texts, covered):
+        return pd.DataFrame({"size": [sum(len(text) for text in texts)]})
+
+    docs = documents(spark, rows)
+    sizes = [r["size"] for r in repeats.find(docs, phrases.KIND, size, "size long").collect()]
+    assert max(sizes) < sum(sizes) / 3
+    assert as_set(phrases.removed_phrases(docs)) == phrases_by_force(rows)
+    assert as_set(suffixes.removed_strings(docs)) == strings_by_force(rows)
+
+
 def test_texts_are_rewritten_in_whole_characters(spark):
     accents = "é" * 60
     rows = [(1, "start " + accents, "fr", "a", 66), (2, accents + " end", "fr", "a", 64), (3, accents, "fr", "a", 60), (4, None, None, None, None)]
