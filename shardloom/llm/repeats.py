@@ -7,9 +7,11 @@ windows mostly have the same anchor; such a stretch of windows is a piece.
 1. Documents are dealt to batches of about ``BATCH_BYTES``, by a hash of id and text, so an id that
    many rows have, or that they lack, fills no batch alone.  Every batch sends
    the anchors it has, as 4-byte hashes, to buckets; a bucket answers which ones more than one
-   document has.
+   document has, and which ones are hot: their distinct pieces, summed over the batches, would
+   overfill a block.
 2. Batches send the pieces whose anchors are shared to blocks, by the anchor: all equal windows meet
-   in one block.  A batch sends equal pieces once, for its smallest id; in its other documents they
+   in one block.  Pieces of hot anchors are cut into single windows, which go by the hash of the
+   whole window; equal windows still meet, and no block gets all of a frequent run.  A batch sends equal pieces once, for its smallest id; in its other documents they
    are known to repeat.  So a passage that any share of documents has comes to its block once for
    each batch.
 3. A block finds the windows of its pieces that also occur under a smaller id.  How is up to the
@@ -83,6 +85,8 @@ class Pieces:
     anchor: np.ndarray
     at: np.ndarray
     units: Units
+    #: Bytes of a unit, on average.
+    unit_bytes: float
 
 
 def pieces(kind: Kind, texts: list[bytes]) -> Iterator[Pieces]:
@@ -102,7 +106,7 @@ def pieces(kind: Kind, texts: list[bytes]) -> Iterator[Pieces]:
             start = np.flatnonzero(valid & ~np.r_[False, same])
             stop = np.flatnonzero(valid & ~np.r_[same, False])
             offset = np.searchsorted(row, row[start])
-            yield Pieces(row[start] + begin, start - offset, stop - offset, least[start], start, units)
+            yield Pieces(row[start] + begin, start - offset, stop - offset, least[start], start, units, size / len(units.hashes))
         begin = end
 
 
@@ -159,27 +163,36 @@ def find(
     n_batches = max(1, -(-size // BATCH_BYTES))
     n_buckets = max(16, -(-size // (16 * BUCKET_ANCHORS)))
     n_blocks = max(16, -(-size // BLOCK_BYTES))
+    # What batches do not report is as much again at most.
+    hot_bytes = BLOCK_BYTES / 2
 
     def key(anchor: np.ndarray) -> np.ndarray:
         return (anchor % np.uint64(n_buckets) << np.uint64(32)) | (anchor >> np.uint64(32))
 
     def anchors(batch: pd.DataFrame) -> pd.DataFrame:
         _, texts, _ = _ordered(batch)
-        found = [(p.anchor, p.row) for p in pieces(kind, texts)]
+        found = []
+        for p in pieces(kind, texts):
+            whole, span = run_hashes(p.units.hashes, kind.window), p.last - p.first
+            name = mix(whole[p.at] + mix(whole[p.at + span] + span.astype(np.uint64)))
+            found.append((key(p.anchor), p.row, name, (span + kind.window) * p.unit_bytes))
         rows = []
         if found:
-            anchor, row = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((row, anchor))
-            anchor, row = key(anchor[order]), row[order]
-            order = np.argsort(anchor, kind="stable")
-            anchor, row = anchor[order], row[order]
+            anchor, row, name, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((name, anchor))
+            anchor, row, name, weight = anchor[order], row[order], name[order], weight[order]
+            fresh = np.r_[True, (anchor[1:] != anchor[:-1]) | (name[1:] != name[:-1])]
             first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
             many = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
-            own = anchor[first]
+            own, total = anchor[first], np.add.reduceat(np.where(fresh, weight, 0.0), first)
             for bucket, at in _cells((own >> np.uint64(32)).astype(np.int64), n_buckets):
                 own_at, many_at = own[at].astype(np.uint32), many[at]
-                rows.append((bucket, own_at[~many_at].tobytes(), own_at[many_at].tobytes()))
-        out = pd.DataFrame(rows, columns=["bucket", "once", "often"])
+                large = total[at] > hot_bytes / n_batches
+                rows.append((
+                    bucket, own_at[~many_at].tobytes(), own_at[many_at].tobytes(), own_at[large].tobytes(),
+                    total[at][large].tobytes(),
+                ))
+        out = pd.DataFrame(rows, columns=["bucket", "once", "often", "large", "bytes"])
         out.insert(1, "from_batch", batch["batch"].iloc[0])
         return out
 
@@ -188,25 +201,33 @@ def find(
         often = [np.frombuffer(x, np.uint32) for x in bucket["often"]]
         every = np.sort(np.concatenate([*once, *often]))
         twice = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *often]))
+        large, of = np.unique(
+            np.concatenate([np.frombuffer(x, np.uint32) for x in bucket["large"]]), return_inverse=True
+        )
+        total = np.bincount(of, np.concatenate([np.frombuffer(x) for x in bucket["bytes"]]), len(large))
+        hot = large[total > hot_bytes].tobytes()
         rows = []
         for batch, a, b in zip(bucket["from_batch"], once, often, strict=True):
             answer = np.r_[a[_among(a, twice)], b]
             if len(answer):
-                rows.append((batch, bucket["bucket"].iloc[0], answer.tobytes()))
-        return pd.DataFrame(rows, columns=["to_batch", "bucket", "answer"])
+                rows.append((batch, bucket["bucket"].iloc[0], answer.tobytes(), hot))
+        return pd.DataFrame(rows, columns=["to_batch", "bucket", "answer", "hot"])
 
     def send(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"block": [], "from_batch": [], "known": [], "data": []})
         if not len(batch) or not len(answers):
             return empty
         number = int(batch["batch"].iloc[0])
-        live = np.sort(
-            np.concatenate(
-                [
-                    (np.uint64(bucket) << np.uint64(32)) | np.frombuffer(answer, np.uint32)
-                    for bucket, answer in zip(answers["bucket"], answers["answer"], strict=True)
-                ]
+        live, hot = (
+            np.sort(
+                np.concatenate(
+                    [
+                        (np.uint64(bucket) << np.uint64(32)) | np.frombuffer(answer, np.uint32)
+                        for bucket, answer in zip(answers["bucket"], answers[column], strict=True)
+                    ]
+                )
             )
+            for column in ("answer", "hot")
         )
         _, texts, ids = _ordered(batch)
         contents: dict[bytes, int] = {}
@@ -214,11 +235,21 @@ def find(
         for p in pieces(kind, texts):
             own = key(p.anchor)
             chosen = np.flatnonzero(_among(own, live))
-            blocks = mix(p.anchor[chosen]) % np.uint64(n_blocks)
-            spans = p.last[chosen] - p.first[chosen]
+            spans, deal_by = p.last[chosen] - p.first[chosen], p.anchor[chosen]
+            firsts, places = p.first[chosen], p.at[chosen]
+            split_up = _among(own[chosen], hot)
+            if split_up.any():
+                times = np.where(split_up, spans + 1, 1)
+                of = np.repeat(np.arange(len(chosen)), times)
+                step = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+                chosen, split_up, firsts, places = chosen[of], split_up[of], firsts[of] + step, places[of] + step
+                spans = np.where(split_up, 0, spans[of])
+                whole = run_hashes(p.units.hashes, kind.window)
+                deal_by = np.where(split_up, whole[places], deal_by[of])
+            blocks = mix(deal_by) % np.uint64(n_blocks)
             for row, first, span, place, to in zip(
-                p.row[chosen].tolist(), p.first[chosen].tolist(), spans.tolist(), p.at[chosen].tolist(),
-                blocks.tolist(), strict=True,
+                p.row[chosen].tolist(), firsts.tolist(), spans.tolist(), places.tolist(), blocks.tolist(),
+                strict=True,
             ):
                 content = p.units.content(place, place + span + kind.window)
                 seen = contents.setdefault(content, len(owner))
@@ -308,9 +339,9 @@ def find(
     )
     by_batch = batches.groupBy("batch")
     answers = (
-        by_batch.applyInPandas(anchors, "bucket long, from_batch long, once binary, often binary")
+        by_batch.applyInPandas(anchors, "bucket long, from_batch long, once binary, often binary, large binary, bytes binary")
         .groupBy("bucket")
-        .applyInPandas(shared, "to_batch long, bucket long, answer binary")
+        .applyInPandas(shared, "to_batch long, bucket long, answer binary, hot binary")
     )
     repeated = (
         by_batch.cogroup(answers.groupBy("to_batch"))

@@ -1,5 +1,6 @@
 """Repeated phrases and strings against brute force; suffix sorting against plain sorting."""
 
+import dataclasses
 import hashlib
 import tempfile
 
@@ -101,6 +102,29 @@ def test_rows_of_one_id_fill_many_batches(spark, monkeypatch, doc_id):
     assert as_set(suffixes.removed_strings(docs)) == strings_by_force(rows)
 
 
+def test_a_frequent_line_fills_no_block(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 10_000)
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 2_000)
+    line = "all rights reserved by us"
+    rows = []
+    for i in range(300):
+        before, after = ([f"t{i // 2 if i % 50 < 2 else i + 1000}{side}{j}" for j in range(20)] for side in "xy")
+        rows.append((i, " ".join([*before, line, *after]), None, None, None))
+    docs = documents(spark, rows)
+    for module, expected, query in (
+        (phrases, phrases_by_force(rows), phrases.removed_phrases),
+        (suffixes, strings_by_force(rows), suffixes.removed_strings),
+    ):
+        kind = module.KIND
+
+        def bounded(contents, owners, solve=kind.solve):
+            assert sum(map(len, contents)) <= 20_000
+            return solve(contents, owners)
+
+        monkeypatch.setattr(module, "KIND", dataclasses.replace(kind, solve=bounded))
+        assert as_set(query(docs)) == expected
+
+
 def test_texts_are_rewritten_in_whole_characters(spark):
     accents = "é" * 60
     rows = [(1, "start " + accents, "fr", "a", 66), (2, accents + " end", "fr", "a", 64), (3, accents, "fr", "a", 60), (4, None, None, None, None)]
