@@ -15,6 +15,7 @@ from shardloom.functions.tokens import query_terms
 from shardloom.mapping import stored_fields, text_fields, text_paths
 from shardloom.operators.routing import verify_routing
 from shardloom.operators.search import DEFAULT_SIZE, match_query
+from shardloom.plans.scratch import scratch_dir
 from shardloom.plans.search_tables import read_postings, read_stats, slices_for, write_postings
 from shardloom.plans.write import docs_path, docs_schema, manifest_path
 
@@ -128,16 +129,15 @@ class Snapshot:
     def _fetch(self, page: DataFrame) -> DataFrame:
         """``(shard, _index, _id, _score, _source)`` of the hits on a page.
 
-        A page, of whatever size was asked for, is brought to the driver first (ids and scores
-        only), so that the documents are read by shard and id: other shards are pruned, and Bloom
-        filters and id ranges of the files skip row groups.  All documents are ``documents()``.
+        A page, of whatever size was asked for, is written to the shared folder first (ids and
+        scores only) and joined there; only its distinct shards come to the driver, so that other
+        shards are pruned.  All documents are ``documents()``.
         """
-        found = page.toArrow()
-        page = self.spark.createDataFrame(found)
-        stored = self.stored_documents().select("shard", "_id", "source").where(
-            F.col("shard").isin(found["shard"].unique().to_pylist())
-            & F.col("_id").isin(found["_id"].to_pylist())
-        )
+        path = scratch_dir(self.spark)
+        page.write.parquet(path)
+        page = self.spark.read.schema(page.schema).parquet(path)
+        shards = [row["shard"] for row in page.select("shard").distinct().collect()]
+        stored = self.stored_documents().select("shard", "_id", "source").where(F.col("shard").isin(shards))
         return stored.join(page, ["shard", "_id"]).select(
             "shard",
             F.lit(self.index_name).alias("_index"),

@@ -1,3 +1,4 @@
+import re
 import json
 from pathlib import Path
 
@@ -349,6 +350,16 @@ def test_typed_filters_reach_the_files(spark, folder):
     assert docs.count() == 9
 
 
+def test_ids_of_a_page_stay_out_of_the_plan(spark, folder, monkeypatch):
+    df = spark.range(40).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("a"))
+    written = sl.write_snapshot(df, folder, "i", {"properties": {"a": {"type": "keyword"}}}, num_shards=2, id_field="id")
+    monkeypatch.setattr(type(df), "toArrow", None)
+    page = sl.open_snapshot(spark, written.path).match_all(30)
+    assert "_id#" in (plan := page._jdf.queryExecution().optimizedPlan().toString())
+    assert not re.search(r"_id#\d+ (IN|INSET) ", plan)
+    assert page.count() == 30
+
+
 def test_match_all_reads_only_the_shards_it_needs(spark, folder):
     snapshot = written(notes(spark), folder, shards=8)
     plan = snapshot.match_all(5)._jdf.queryExecution().optimizedPlan().toString()
