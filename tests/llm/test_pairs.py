@@ -11,21 +11,22 @@ from tests.llm.fixtures import SENTENCE, as_set, clashing, documents
 
 
 def found_by_force(docs, items, words=5, percent=80):
-    def shingles(text):
+    def shingles(text, n):
         w = (text or "").encode().lower().split()
-        return {tuple(w[i : i + words]) for i in range(len(w) - words + 1)}
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
     best = {}
     for doc_id, text, *_ in docs:
         for item_id, item in items:
-            of = shingles(item)
-            n = len(of & shingles(text))
+            span = min(words, len((item or "").encode().split()))
+            of = shingles(item, span) if span else set()
+            n = len(of & shingles(text, span)) if of else 0
             if None not in (doc_id, item_id) and of and n * 100 >= percent * len(of):
                 best[doc_id, item_id] = max(best.get((doc_id, item_id), (0, 0, 0)), (n / len(of), len(of), n))
     return sorted((*k, n, m, c) for k, (c, n, m) in best.items())
 
 
-ITEMS = [(1, SENTENCE), (2, SENTENCE + " indeed"), (3, "too short"), (4, None), (None, SENTENCE), (5, " ".join(f"W{i}" for i in range(300, 360))), (1, "other words of an item that repeats an id")]
+ITEMS = [(1, SENTENCE), (2, SENTENCE + " indeed"), (3, "too short"), (4, None), (None, SENTENCE), (5, " ".join(f"W{i}" for i in range(300, 360))), (1, "other words of an item that repeats an id"), (6, "Lazy dog"), (7, "WORD"), (8, "old oak  tree and"), (9, " "), (10, "w7 w8 w10")]
 
 
 @pytest.mark.parametrize("empty", ["none", "docs", "items"])
@@ -39,7 +40,44 @@ def test_items_found(spark, empty):
     assert empty != "none" or {r[0] for r in expected} >= {4, 5, 6, 8}
     kept = decontaminate.without_items(clashing(docs), items)
     assert kept.columns == clashing(docs).columns
-    assert not {r["doc_id"] for r in kept.collect()} & {r[0] for r in expected}
+    dirty = {r[0] for r in expected}
+    judged = [(r["doc_id"] or 0, r["text"]) for r in docs.collect()]
+    clean = sorted(i for i, text in judged if not (i in dirty or (i == 0 and text == SENTENCE and dirty)))
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == clean
+
+
+def test_each_row_is_judged_by_its_own_text(spark):
+    rows = [(1, SENTENCE, None, None, None), (1, "a clean text", None, None, None), (None, SENTENCE, None, None, None), (None, None, None, None, None)]
+    items = spark.createDataFrame([(1, SENTENCE)], "item_id long, text string")
+    kept = decontaminate.without_items(documents(spark, rows), items)
+    assert as_set(kept.select("doc_id", "text")) == [(1, "a clean text"), (None, None)]
+
+
+def test_a_text_is_split_once_per_pass(spark, capsys):
+    """A filter pushed below the split would have every shingle split its text again."""
+    docs, items = documents(spark), spark.createDataFrame(ITEMS, "item_id long, text string")
+    known = decontaminate.item_shingles(items)
+    for plan in (decontaminate.candidates(decontaminate._texts(docs), known), decontaminate.contained(docs, items)):
+        plan.explain("extended")
+        text = capsys.readouterr().out
+        optimized = text[text.index("== Optimized Logical Plan ==") : text.index("== Physical Plan ==")]
+        assert optimized.count("split(") == 1
+        assert optimized.count("array_intersect(") <= 1
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """40,000 words in a few seconds: shingling that grows with the square takes hours."""
+    import time
+
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    took = {}
+    for n in (1_000, 1_000, 40_000):
+        text = " ".join(f"w{i}" for i in range(n))
+        docs = documents(spark, [(i, f"{i} {text}", None, None, None) for i in range(8)])
+        began = time.perf_counter()
+        assert {r["item_id"] for r in decontaminate.find_items(docs, items).collect()} >= {5}
+        took[n] = time.perf_counter() - began
+    assert took[40_000] < 40 * max(took[1_000], 0.5)
 
 
 def test_partial_items_of_every_size(spark):
