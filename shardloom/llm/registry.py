@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from shardloom.llm import decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc
+from shardloom.llm import bpe, decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc
 from shardloom.llm.common import Query
 
-MODULES = (decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc)
+MODULES = (decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc, bpe)
 
 
 def queries() -> dict[str, Query]:
