@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from shardloom.llm import bpe, decontaminate, divergence, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc
+from shardloom.llm import bpe, collocations, decontaminate, divergence, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc
 from shardloom.llm.common import Query
 
-MODULES = (decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc, divergence, bpe)
+MODULES = (decontaminate, langid, mixing, near_duplicates, neighbours, phrases, quality, suffixes, toxicity, warc, divergence, collocations, bpe)
 
 
 def queries() -> dict[str, Query]:
