@@ -46,16 +46,22 @@ def varints(codes: np.ndarray) -> tuple[bytes, np.ndarray]:
 
 def from_varints(data: bytes) -> np.ndarray:
     digits = np.frombuffer(data, np.uint8)
-    last = digits < 128
-    ends = np.flatnonzero(last)
-    starts = np.r_[0, ends[:-1] + 1] if len(ends) else ends
-    place = np.arange(len(digits)) - np.repeat(starts, ends - starts + 1)
-    values = (digits & 127).astype(np.int64) << (7 * place)
-    return np.add.reduceat(values, starts) if len(starts) else values
+    ends = np.flatnonzero(digits < 128)
+    if not len(ends):
+        return np.zeros(0, np.int32)
+    starts = np.r_[0, ends[:-1] + 1]
+    sizes = ends - starts + 1
+    longest = int(sizes.max())
+    values = (digits[starts] & 127).astype(np.int32 if longest < 5 else np.int64)
+    for k in range(1, longest):
+        has = np.flatnonzero(sizes > k)
+        values[has] |= (digits[starts[has] + k] & 127).astype(values.dtype) << (7 * k)
+    return values
 
 
 def gather(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """The runs of ``flat``, ``sizes`` long, that ``codes`` name, one after the other."""
+    sizes = sizes.astype(np.int64)
     starts = np.cumsum(sizes) - sizes
     wanted = sizes[codes]
     before = np.cumsum(wanted) - wanted

@@ -2,16 +2,20 @@
 
 The pattern of the vocabulary cuts a text into words (pre-tokens).  A task writes its texts as
 blocks: every word of a block once, and the places of the words as numbers (see ``blocks``).  The
-words are exploded with their numbers and shuffled; each distinct word of all documents is encoded
-once, by merging the pair of lowest rank until none is left; its ids are decoded by a join with the
-table of token bytes; ids and bytes are joined back to the blocks and put in order by place.
+words of a block are dealt by hash to buckets of words and shuffled, packed with their numbers: one row
+per block and bucket.  A bucket has all occurrences of its words, so each distinct word of all
+documents is encoded once, by merging the pair of lowest rank until none is left; the ids go back to the
+blocks that asked, and are put in order by place.  Ids are decoded by a map-side join with the table of
+token bytes, which is as large as the vocabulary whatever the data.
 
-A word that occurs everywhere sends one row per block, not one per occurrence, and the join back
-has one row per word on its other side, so adaptive execution can cut such a word's rows.  The blocks
-are a written table in the shared folder: their numbering is made once, whatever is lost later.
+A bucket is read as a stream, and holds the distinct words of about ``BUCKET_BYTES`` of text.  A word
+that occurs everywhere costs its bucket one number per block, not one per occurrence.  Blocks are
+shuffled once and read twice, for their words and for their places.  They are a function of the rows of a
+task in their order; should a lost block ever be made again from another order, the stamp that its words
+carry tells, and the job fails.
 
-What is a letter, a number or white space is what the installed ``tiktoken`` takes for one: it is asked once
-per character outside ASCII, as the classes of the ``regex`` library are of another Unicode version.
+What is a letter, a number or white space beyond ASCII is what the installed ``tiktoken`` takes for
+one: it is asked once per character, as other libraries go by other versions of Unicode.
 
 Defined results: null texts are empty; empty texts have no token and decode to nothing; very long
 texts are encoded whole; each row gives a row, repeated rows and rows without an id too; of two pairs
@@ -23,28 +27,35 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
+import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm.blocks import Numbers, by_frequency, from_varints, gather, varints
-from shardloom.llm.common import Query, read, stored
+from shardloom.llm.common import Query, read, text_bytes
+from shardloom.llm.grams import word_hashes
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
-#: Words after which a block is closed, and words whose places are resolved at a time.
-BLOCK_WORDS = 1 << 20
+#: Words after which a block is closed, words whose places are resolved at a time, and bytes of text
+#: per bucket of words.
+BLOCK_WORDS = 1 << 21
 CHUNK = 1 << 18
+BUCKET_BYTES = 4 << 20
 
-_PART = "words array<string>, rows array<struct<doc_id:bigint,codes:binary>>"
-BLOCKS = f"block bigint, {_PART}"
-ENCODED = "doc_id bigint, ids array<int>, decoded binary"
+BLOCKS = "block bigint, data binary"
+PIECES = "block bigint, bucket bigint, stamp bigint, words binary"
+ANSWERS = "block bigint, stamp bigint, ids binary"
+ENCODED = "doc_id bigint, ids array<int>"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -95,60 +106,78 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Splitter:
-    """Words of a text by a pattern, with the character classes of ``tiktoken``."""
+    """Words of a text by a pattern of literals, ``\\s``, ``\\p{L}`` and ``\\p{N}``.
 
-    #: A character goes with the first of these that it forms one word with, and then is of its kind.
-    KINDS = {"x": r"\p{L}", "1": r"\p{N}", "!": r"[^\s\p{L}\p{N}]", "\n": r"\s"}
+    Matching is done on ASCII: any other character is replaced by one of its kind that no literal of the
+    pattern has, and the words are cut out of the text at the same places.
+    """
+
+    #: A letter, a number, another character and white space other than a space.  A
+    #: character is of the first kind with which it forms one word.
+    STAND_INS = ("x", "1", "!", "\n")
 
     def __init__(self, pattern: str) -> None:
         self.pattern = pattern
-        self.match = regex.compile(pattern)
-        self.asked: dict[str, str] = {}
+        own = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+        self.find = re.compile(own, re.ASCII).findall
+        self.asked: dict[int, str] = {}
 
     def ask(self, characters: list[str]) -> None:
-        """Note for each character a stand-in that both libraries take for the same kind, or itself."""
         import tiktoken
 
         ranks = {bytes([i]): i for i in range(256)}
         for character in characters:
-            for lead in self.KINDS:
+            for lead in self.STAND_INS:
                 word = (lead + character).encode()
                 for end in range(2, len(word) + 1):
                     ranks.setdefault(word[:end], len(ranks))
         known = tiktoken.Encoding("kinds", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
         for character in characters:
-            self.asked[character] = character
-            for lead, kind in self.KINDS.items():
-                if len(known.encode_ordinary(lead + character)) == 1:
-                    if not regex.match(kind, character):
-                        self.asked[character] = lead
-                    break
+            kinds = [lead for lead in self.STAND_INS if len(known.encode_ordinary(lead + character)) == 1]
+            self.asked[ord(character)] = kinds[0]
 
     def words(self, text: str) -> list[str]:
         if text.isascii():
-            return self.match.findall(text)
-        beyond = [c for c in set(text) if c > "\x7f"]
-        if new := [c for c in beyond if c not in self.asked]:
+            return self.find(text)
+        if new := [c for c in set(text) if c > "\x7f" and ord(c) not in self.asked]:
             self.ask(new)
-        other = {ord(c): stand_in for c in beyond if (stand_in := self.asked[c]) != c}
-        if not other:
-            return self.match.findall(text)
-        return [text[m.start() : m.end()] for m in self.match.finditer(text.translate(other))]
+        ends = list(accumulate(map(len, self.find(text.translate(self.asked)))))
+        return [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def packed(*parts: bytes) -> bytes:
+    sizes, _ = varints(np.array([len(part) for part in parts]))
+    return zstandard.ZstdCompressor(level=3).compress(bytes([len(sizes)]) + sizes + b"".join(parts))
+
+
+def unpacked(data: bytes) -> list[bytes]:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    at = 1 + data[0]
+    parts = []
+    for size in from_varints(data[1:at]).tolist():
+        parts.append(data[at : at + size])
+        at += size
+    return parts
 
 
 def _blocks(pattern: str, block_words: int):
-    item = pa.struct([("doc_id", pa.int64()), ("codes", pa.binary())])
-    schema = pa.schema([("block", pa.int64()), ("words", pa.list_(pa.string())), ("rows", pa.list_(item))])
+    schema = pa.schema([("block", pa.int64()), ("data", pa.binary())])
 
     def close(number: int, index: Numbers, ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
         codes = np.concatenate(texts)
         order, new = by_frequency(codes, len(index))
-        data, ends = varints(new[codes])
-        bounds = np.r_[0, ends][np.r_[0, np.cumsum([len(text) for text in texts])]]
-        rows = [{"doc_id": i, "codes": data[a:b]} for i, a, b in zip(ids, bounds[:-1], bounds[1:], strict=True)]
-        words = list(index)
-        columns = [[number], [[words[i] for i in order]], [rows]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        every = list(index)
+        words = [every[i].encode() for i in order]
+        missing = np.array([i is None for i in ids], np.uint8)
+        data = packed(
+            np.array([i or 0 for i in ids], np.int64).tobytes(),
+            missing.tobytes(),
+            varints(np.array([len(text) for text in texts]))[0],
+            varints(new[codes])[0],
+            varints(np.array([len(word) for word in words]))[0],
+            b"".join(words),
+        )
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([data], pa.binary())], schema=schema)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter(pattern)
@@ -169,83 +198,137 @@ def _blocks(pattern: str, block_words: int):
     return blocks
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """``(word, ids)`` of the distinct words of ``words``."""
+def _stamp(sizes: bytes, letters: bytes) -> int:
+    return zlib.crc32(letters, zlib.crc32(sizes))
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ranks = ranks_of(path)
-        for batch in batches:
-            yield pd.Series([merged(word.encode(), ranks) for word in batch])
 
-    return words.select("word").distinct().select("word", encode("word").alias("ids"))
+def _pieces(buckets: int):
+    """The words of a block by bucket: their numbers (as gaps), their sizes, their bytes."""
 
+    def pieces(block: pd.DataFrame) -> pd.DataFrame:
+        *_, packed_sizes, letters = unpacked(block["data"].iloc[0])
+        sizes = from_varints(packed_sizes)
+        ends = sizes.cumsum()
+        starts, data = ends - sizes, np.frombuffer(letters, np.uint8)
+        bucket = (word_hashes(data, starts, ends) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bounds = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True]) if len(sizes) else np.zeros(1, np.int64)
+        rows = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            own = order[a:b]
+            words = packed(varints(np.diff(own, prepend=0))[0], varints(sizes[own])[0], gather(data, sizes, own).tobytes())
+            rows.append((bucket[own[0]], words))
+        out = pd.DataFrame(rows, columns=["bucket", "words"])
+        out.insert(0, "stamp", _stamp(packed_sizes, letters))
+        out.insert(0, "block", block["block"].iloc[0])
+        return out
 
-def token_table(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, token)``: the bytes of each id; as large as the vocabulary, whatever the data."""
-    return spark.createDataFrame([(rank, token) for token, rank in ranks_of(path).items()], "id int, token binary")
+    return pieces
 
 
-def decode(encoded: DataFrame, tokens: DataFrame, key: str = "key") -> DataFrame:
-    """``(key, ids, decoded)``: the bytes of each row's ids, by a join with the token table.
+def encode_words(pieces: DataFrame, path: str) -> DataFrame:
+    """``(block, stamp, words)`` to ``(block, stamp, ids)``: every distinct word encoded once, in its bucket."""
 
-    Keys must be unique and not null.  An id that the table lacks fails the job.
-    """
-    placed = encoded.select(key, F.posexplode_outer("ids").alias("at", "id"))
-    unknown = F.raise_error(F.concat(F.lit("no token has the id "), F.col("id").cast("string"))).cast("binary")
-    token = F.when(F.col("id").isNull(), F.lit(b"")).otherwise(F.coalesce(F.col("token"), unknown))
-    parts = F.sort_array(F.collect_list(F.struct("at", "id", token.alias("token"))))
-    return (
-        placed.join(F.broadcast(tokens), "id", "left")
-        .groupBy(key)
-        .agg(parts.alias("parts"))
-        .select(key, F.filter(F.col("parts.id"), lambda x: x.isNotNull()).alias("ids"), _joined(F.col("parts.token")).alias("decoded"))
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ranks, bucket, known = ranks_of(path), None, {}
+        for batch in batches:
+            out = []
+            for own, data in zip(batch["bucket"], batch["words"], strict=True):
+                if own != bucket:
+                    bucket, known = own, {}
+                numbers, sizes, letters = unpacked(data)
+                ends = from_varints(sizes).cumsum().tolist()
+                words = [letters[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                for word in words:
+                    if word not in known:
+                        known[word] = merged(word, ranks)
+                ids = [known[word] for word in words]
+                flat = np.array([i for x in ids for i in x], np.int64)
+                out.append(packed(numbers, varints(np.array([len(x) for x in ids]))[0], varints(flat)[0]))
+            yield pd.DataFrame({"block": batch["block"], "stamp": batch["stamp"], "ids": out})
+
+    dealt = pieces.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInPandas(encode, ANSWERS)
+
+
+def _in_place(block: pd.DataFrame, words: pd.DataFrame, path: str | None) -> pd.DataFrame:
+    """Ids of the texts of one block; with the table at ``path``, also the bytes they stand for."""
+    doc_ids, missing, text_sizes, codes, word_sizes, letters = unpacked(block["data"].iloc[0])
+    if (words["stamp"] != _stamp(word_sizes, letters)).any():
+        raise ValueError("a block was made again from rows in another order: write the input to a table first")
+    found = [[from_varints(part) for part in unpacked(data)] for data in words["ids"]]
+    none = np.zeros(0, np.int32)
+    order = np.argsort(np.concatenate([none, *[gaps.cumsum() for gaps, _, _ in found]]))
+    n_ids, ids = (np.concatenate([none, *[x[k] for x in found]]) for k in (1, 2))
+    ids, n_ids = gather(ids, n_ids, order), n_ids[order]
+    codes = from_varints(codes)
+    flat = np.concatenate([none, *[gather(ids, n_ids, codes[i : i + CHUNK]) for i in range(0, len(codes), CHUNK)]])
+    ends = np.r_[0, n_ids[codes].cumsum()][from_varints(text_sizes).cumsum()]
+    texts = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    known = pd.arrays.IntegerArray(np.frombuffer(doc_ids, np.int64).copy(), np.frombuffer(missing, bool).copy())
+    out = pd.DataFrame({"doc_id": known, "ids": texts})
+    if path is not None:
+        tokens = Tokens(path)
+        out["decoded"] = [tokens.joined(ids) for ids in texts]
+    return out
+
+
+def encode(
+    docs: DataFrame, path: str | None = None, pattern: str | None = None,
+    block_words: int = BLOCK_WORDS, bucket_bytes: int = BUCKET_BYTES, decoded: bool = False,
+) -> DataFrame:
+    """``(doc_id, ids)``: the token ids of every row of ``docs``; with ``decoded``, what ``decode`` makes of
+    them is added by the same task."""
+    path, pattern = path or vocabulary_path(), pattern or public_pattern()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    buckets = 1 + text_bytes(texts) // bucket_bytes
+    by_block = texts.mapInArrow(_blocks(pattern, block_words), BLOCKS).groupBy("block")
+    words = encode_words(by_block.applyInPandas(_pieces(buckets), PIECES), path)
+    table = path if decoded else None
+    return by_block.cogroup(words.groupBy("block")).applyInPandas(
+        lambda left, right: _in_place(left, right, table), ENCODED + (", decoded binary" if decoded else "")
     )
 
 
-def _joined(tokens: Column) -> Column:
-    """Bytes one after the other: as hexadecimal text, of which an array can be joined."""
-    return F.unhex(F.array_join(F.transform(tokens, F.hex), ""))
+class Tokens:
+    """The table of token bytes, to be joined with ids."""
 
+    def __init__(self, path: str) -> None:
+        tokens = {rank: token for token, rank in ranks_of(path).items()}
+        self.sizes = np.zeros(max(tokens) + 1, np.int64)
+        self.known = np.zeros(len(self.sizes), bool)
+        self.known[list(tokens)] = True
+        self.sizes[list(tokens)] = [len(token) for token in tokens.values()]
+        self.letters = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(len(self.sizes))), np.uint8)
 
-def _in_place(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    """Ids and bytes of the texts of one block."""
-    words = words.sort_values("no")
-    ids, decoded = list(words["ids"]), list(words["decoded"])
-    n_ids = np.array([len(x) for x in ids], np.int64)
-    n_bytes = np.array([len(x) for x in decoded], np.int64)
-    flat_ids = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
-    flat_bytes = np.frombuffer(b"".join(decoded), np.uint8)
+    def joined(self, ids: np.ndarray) -> bytes:
+        unknown = (ids < 0) | (ids >= len(self.sizes))
+        unknown[~unknown] = ~self.known[ids[~unknown]]
+        if unknown.any():
+            raise ValueError(f"no token has the id {ids[unknown][0]}")
+        parts = [gather(self.letters, self.sizes, ids[i : i + CHUNK]) for i in range(0, len(ids), CHUNK)]
+        return b"".join(part.tobytes() for part in parts)
 
-    def one(codes: bytes) -> tuple[np.ndarray, bytes]:
-        at = from_varints(codes)
-        chunks = [at[i : i + CHUNK] for i in range(0, len(at), CHUNK)]
-        found = np.concatenate([np.zeros(0, np.int32), *[gather(flat_ids, n_ids, chunk) for chunk in chunks]])
-        return found, b"".join(gather(flat_bytes, n_bytes, chunk).tobytes() for chunk in chunks)
 
-    found = [one(codes) for codes in rows["codes"]]
-    return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64").to_numpy(object, na_value=None), "ids": [x for x, _ in found], "decoded": [x for _, x in found]})
+def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """``encoded`` with ``decoded``: the bytes that each row's ``ids`` stand for; none for null.
 
+    Each task joins its ids with the table of token bytes.  An id that the table lacks fails the job.
+    """
+    path = path or vocabulary_path()
 
-def encode(
-    docs: DataFrame, path: str | None = None, pattern: str | None = None, block_words: int = BLOCK_WORDS
-) -> DataFrame:
-    """``(doc_id, ids, decoded)`` of every row of ``docs``: its token ids, and the bytes they stand for."""
-    path, pattern = path or vocabulary_path(), pattern or public_pattern()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = stored(texts.mapInArrow(_blocks(pattern, block_words), BLOCKS), "bpe-blocks")
-    words = blocks.select("block", F.posexplode("words").alias("no", "word"))
-    coded = decode(encode_words(words, path), token_table(docs.sparkSession, path), "word")
-    known = words.join(coded, "word").select("block", "no", "ids", "decoded")
-    rows = blocks.select(F.col("block").alias("of"), F.inline("rows"))
-    return rows.groupBy("of").cogroup(known.groupBy("block")).applyInPandas(
-        lambda left, right: _in_place(left, right), ENCODED
-    )
+    @F.pandas_udf("binary")
+    def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = Tokens(path)
+        for batch in batches:
+            yield batch.map(lambda ids: tokens.joined(np.asarray([] if ids is None else ids, np.int64)), na_action=None)
+
+    return encoded.withColumn("decoded", bytes_of("ids"))
 
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids_text = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return encode(read(spark, sf_dir, "documents")).select(
+    return encode(read(spark, sf_dir, "documents"), decoded=True).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(ids_text.cast("binary"), 256).alias("ids_sha256"),

@@ -55,11 +55,11 @@ def test_gather():
     assert gather(np.arange(6), np.array([1, 0, 3, 2]), np.array([2, 1, 0, 2])).tolist() == [1, 2, 3, 0, 1, 2, 3]
 
 
-@pytest.mark.parametrize("block_words", [1, 50, bpe.BLOCK_WORDS])
-def test_documents(spark, block_words):
-    rows = [*odd_rows(), (20, "a՘b \U0001f600's", "en", "a", None)]
+@pytest.mark.parametrize("sizes", [(1, 4), (50, 100), (bpe.BLOCK_WORDS, bpe.BUCKET_BYTES)])
+def test_documents(spark, sizes):
+    rows = [*(odd_rows() if sizes[0] > 1 else [r for r in odd_rows() if len(r[1] or "") < 200]), (20, "a\u0558b \U0001f600's", "en", "a", None)]
     docs = documents(spark, rows).repartition(3)
-    found = as_set(bpe.encode(clashing(docs), block_words=block_words))
+    found = as_set(bpe.decode(bpe.encode(clashing(docs), block_words=sizes[0], bucket_bytes=sizes[1])))
     expected = []
     for doc_id, text, *_ in rows:
         expected.append((doc_id, LIBRARY.encode_ordinary(text or ""), bytearray((text or "").encode())))
@@ -84,12 +84,15 @@ def test_empty_table(spark):
 
 
 def test_decoding(spark):
-    tokens = bpe.token_table(spark, bpe.vocabulary_path())
     ids = LIBRARY.encode_ordinary("été, où?")
     rows = spark.createDataFrame([(1, ids), (2, []), (3, None), (4, ids[1:2])], "key long, ids array<int>")
-    found = {r["key"]: (r["ids"], bytes(r["decoded"])) for r in bpe.decode(rows, tokens).collect()}
-    assert found[1] == (ids, "été, où?".encode()) and found[2] == found[3] == ([], b"")
-    assert found[4][1] == LIBRARY.decode_bytes(ids[1:2])
-    unknown = spark.createDataFrame([(1, [10_000_000])], "key long, ids array<int>")
-    with pytest.raises(Exception, match="no token has the id 10000000"):
-        bpe.decode(unknown, tokens).collect()
+    found = {r["key"]: (r["ids"], bytes(r["decoded"])) for r in bpe.decode(rows).collect()}
+    assert found == {1: (ids, "été, où?".encode()), 2: ([], b""), 3: (None, b""), 4: (ids[1:2], LIBRARY.decode_bytes(ids[1:2]))}
+    for unknown in (10_000_000, -1):
+        with pytest.raises(Exception, match=f"no token has the id {unknown}"):
+            bpe.decode(spark.createDataFrame([(1, [unknown])], "key long, ids array<int>")).collect()
+
+
+@given(st.lists(st.binary(max_size=300), max_size=5))
+def test_packing(parts):
+    assert bpe.unpacked(bpe.packed(*parts)) == parts
