@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Callable
 from pathlib import Path
 
@@ -17,10 +18,10 @@ from shardloom.plans.scratch import scratch_dir
 try:
     import corpus_pipeline
     import shardloom.llm.registry as llm
-except ModuleNotFoundError as missing:
-    # Both can be left out together; anything else that is missing is an error.
-    if missing.name not in ("corpus_pipeline", "shardloom.llm", "shardloom.llm.registry"):
-        raise
+except ImportError as missing:
+    # Both can be left out together, and so can the libraries that only they need.
+    if getattr(missing, "name", None) not in ("corpus_pipeline", "shardloom.llm", "shardloom.llm.registry"):
+        warnings.warn(f"queries of the optional subpackage are left out: {missing}", stacklevel=1)
     llm = corpus_pipeline = None
 
 SMALL = "/root/testdata/sf0.001"
@@ -89,6 +90,43 @@ LINEITEM = {
 }
 
 
+EMBEDDINGS = {
+    "properties": {
+        "vec_id": {"type": "long"},
+        "embedding": {"type": "float"},
+        "label": {"type": "integer"},
+    }
+}
+TAGGED = {
+    "properties": {
+        "user_id": {"type": "long"},
+        "tags": {"type": "keyword"},
+        "values": {"type": "double"},
+    }
+}
+TURNS = {
+    "properties": {
+        "turns.turn": {"type": "long"},
+        "turns.role": {"type": "keyword"},
+        "turns.text": {"type": "text"},
+    }
+}
+FORMATS = {
+    "properties": {
+        "day": {"type": "date", "format": "dd.MM.yyyy||yyyy/MM/dd"},
+        "seconds": {"type": "date", "format": "epoch_second"},
+        "month": {"type": "date", "format": "strict_year_month"},
+    }
+}
+MALFORMED = {
+    "properties": {
+        "event_type": {"type": "keyword"},
+        "value": {"type": "integer", "ignore_malformed": True, "null_value": -1},
+        "at": {"type": "date", "ignore_malformed": True},
+    }
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -267,6 +305,51 @@ def nonconforming_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sl.nonconforming_fields(_event_documents(spark, sf_dir), wrong)
 
 
+def conform_dates_with_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates in three formats of their own; every other day is written in the second of two."""
+    first, second = F.date_format("ts", "dd.MM.yyyy"), F.date_format("ts", "yyyy/MM/dd")
+    day = F.when(F.col("event_id") % 2 == 0, first).otherwise(second)
+    events = table(spark, sf_dir, "events").select(
+        key("event_id"),
+        day.alias("day"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("seconds"),
+        F.date_format("ts", "yyyy-MM").alias("month"),
+    )
+    fields = sl.conform_to_mapping(sl.documents_from_dataframe(events), FORMATS).select("_id", "fields.*")
+    return fields.select("_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("day", "seconds", "month")])
+
+
+def ignore_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that fit no number or date are left out and named; nulls have a value of their own."""
+    n = F.col("event_id") % 4
+    value = F.when(n == 0, F.col("event_type")).when(n == 1, F.lit(None)).otherwise(F.col("event_id").cast("string"))
+    at = F.when(n == 2, F.lit("never")).otherwise(F.lit("2024-01-02"))
+    events = table(spark, sf_dir, "events").select(key("event_id"), "event_type", value.alias("value"), at.alias("at"))
+    made = sl.conform_to_mapping(sl.documents_from_dataframe(events), MALFORMED)
+    return made.select(
+        "_id", "fields.value", F.col("fields.at").cast("date").alias("at"), F.array_join("ignored", ",").alias("ignored")
+    )
+
+
+def conform_dotted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose ``props.k`` is written as a path in every other document."""
+    nested = F.to_json(F.struct("event_type", F.from_json("props", "k int").alias("props")))
+    dotted = F.to_json(F.struct("event_type", F.from_json("props", "k int")["k"].alias("props.k")))
+    source = F.when(F.col("event_id") % 2 == 0, nested).otherwise(dotted)
+    docs = table(spark, sf_dir, "events").select(key("event_id"), source.alias("source"))
+    mapping = {"properties": {"event_type": {"type": "keyword"}, "props.k": {"type": "integer"}}}
+    return sl.conform_to_mapping(docs, mapping).select("_id", "fields.event_type", "fields.props.k")
+
+
+def jsonl_number_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of up to 40 digits as ids and values: both stay as they are written."""
+    number = F.concat(F.lit("1"), "event_id", F.lit("00000000000000000000000000000000.10"))
+    line = F.concat(F.lit('{"n":'), number, F.lit(',"_id":'), number, F.lit(',"e":[{"_id":1e400}]}'))
+    path = f"{scratch_dir(spark)}/numbers"
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return sl.read_jsonl_documents(spark, path)
+
+
 # --- snapshots ----------------------------------------------------------------------------
 
 
@@ -289,6 +372,51 @@ def snapshot_from_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of arrays: fields with a list of values."""
+    rows = keyed(table(spark, sf_dir, "embeddings"), "vec_id")
+    snapshot = indexed(rows, "embeddings", EMBEDDINGS, 3)
+    values = snapshot.values("embedding")
+    micro = F.aggregate(values, F.lit(0).cast("bigint"), lambda total, x: total + F.floor(x.cast("double") * 1_000_000))
+    return snapshot.documents().select(
+        "_id", "fields.vec_id", "fields.label", F.size(values).alias("n_values"),
+        F.col("fields.embedding").cast("double").alias("first_value"),
+        F.element_at(values, -1).cast("double").alias("last_value"), micro.alias("sum_micro"),
+    )
+
+
+def snapshot_tags_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with none, one or several tags and with lists in lists."""
+    k = F.from_json("props", "k int")["k"]
+    tags = (
+        F.when(k % 4 == 0, F.lit("[]"))
+        .when(k % 4 == 1, F.to_json(F.array("event_type")))
+        .when(k % 4 == 2, F.concat(F.lit('"'), "event_type", F.lit('"')))
+        .otherwise(F.concat(F.lit('["'), "event_type", F.lit('",null,["k'), k.cast("string"), F.lit('",["z"]]]')))
+    )
+    parts = [F.lit('{"_id":"id'), F.col("event_id"), F.lit('","user_id":'), F.col("user_id"), F.lit(',"tags":'), tags]
+    line = F.concat(*parts, F.lit(',"values":['), F.col("event_id"), F.lit(',"0.5"]}'))
+    path = f"{scratch_dir(spark)}/tags"
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    written = sl.write_documents(sl.read_jsonl_documents(spark, path), scratch_dir(spark), "tags", TAGGED, 4)
+    snapshot = sl.open_snapshot(spark, written.path)
+    return snapshot.documents().select(
+        "_id", "fields.user_id", F.col("fields.tags").alias("first_tag"), F.array_join(snapshot.values("tags"), ",").alias("tags"),
+        F.aggregate(snapshot.values("values"), F.lit(0.0), lambda a, b: a + b).alias("total"),
+    )
+
+
+def snapshot_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of objects per document: the turns of a conversation."""
+    turn = F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
+    rows = table(spark, sf_dir, "conversations").groupBy(key("conv_id")).agg(turn)
+    snapshot = indexed(rows, "turns", TURNS, 3)
+    return snapshot.documents().select(
+        "_id", F.size(snapshot.values("turns.turn")).alias("n_turns"), F.array_join(snapshot.values("turns.role"), ",").alias("roles"),
+        F.col("fields.turns.text").alias("first_text"), F.element_at(snapshot.values("turns.text"), -1).alias("last_text"),
+    )
+
+
 def snapshot_to_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows turned into documents by a hook of the caller."""
 
@@ -438,9 +566,16 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             conform_to_mapping,
             undeclared_fields,
             nonconforming_fields,
+            conform_dates_with_format,
+            ignore_malformed,
+            conform_dotted_names,
+            jsonl_number_ids,
             snapshot_roundtrip,
             snapshot_roundtrip_pages,
             snapshot_from_jsonl,
+            snapshot_embeddings,
+            snapshot_tags_jsonl,
+            snapshot_turns,
             snapshot_to_document,
             snapshot_lineitem,
             snapshot_manifest,
@@ -621,6 +756,33 @@ def core_oracle_sql() -> dict[str, str]:
                     CASE WHEN TRY_CAST(event_type AS BIGINT) IS NULL THEN 'event_type' END,
                     'value', 'props'], lambda f: f IS NOT NULL)) AS field
                 FROM events) GROUP BY field""",
+        "conform_dates_with_format": f"""
+            SELECT {_id("event_id")} AS _id, date_trunc('day', ts)::TIMESTAMP AS day,
+                   date_trunc('second', ts) AS seconds, date_trunc('month', ts)::TIMESTAMP AS month FROM events""",
+        "ignore_malformed": f"""
+            SELECT {_id("event_id")} AS _id,
+                   CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE event_id END::INTEGER AS value,
+                   CASE WHEN event_id % 4 = 2 THEN NULL ELSE DATE '2024-01-02' END AS at,
+                   CASE event_id % 4 WHEN 0 THEN 'value' WHEN 2 THEN 'at' ELSE '' END AS ignored FROM events""",
+        "conform_dotted_names": f"""
+            SELECT {_id("event_id")} AS _id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
+        "jsonl_number_ids": """
+            SELECT '1' || event_id || '00000000000000000000000000000000.10' AS _id,
+                   '{"n":1' || event_id || '00000000000000000000000000000000.10,"e":[{"_id":1e400}]}' AS source FROM events""",
+        "snapshot_embeddings": f"""
+            SELECT {_id("vec_id")} AS _id, vec_id, label, len(embedding)::INTEGER AS n_values,
+                   embedding[1]::DOUBLE AS first_value, embedding[-1]::DOUBLE AS last_value,
+                   list_sum(list_transform(embedding, lambda x: floor(x::DOUBLE * 1000000)::BIGINT))::BIGINT AS sum_micro
+            FROM embeddings""",
+        "snapshot_tags_jsonl": f"""
+            WITH tagged AS (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
+            SELECT {_id("event_id")} AS _id, user_id, CASE WHEN k % 4 = 0 THEN NULL ELSE event_type END AS first_tag,
+                   CASE k % 4 WHEN 0 THEN '' WHEN 3 THEN event_type || ',k' || k || ',z' ELSE event_type END AS tags,
+                   event_id + 0.5::DOUBLE AS total FROM tagged""",
+        "snapshot_turns": f"""
+            SELECT {_id("conv_id")} AS _id, count(turn)::INTEGER AS n_turns, string_agg(role, ',' ORDER BY turn) AS roles,
+                   arg_min(text, turn) AS first_text, arg_max(text, turn) AS last_text
+            FROM conversations GROUP BY conv_id""",
         "snapshot_roundtrip": f"""
             SELECT {_id("doc_id")} AS _id, doc_id, text, lang, source, n_chars::INTEGER AS n_chars
             FROM documents""",

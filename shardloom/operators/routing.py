@@ -39,7 +39,9 @@ def parts_per_shard(spark: SparkSession, num_shards: int) -> int:
     return max(1, -(-shuffle_partitions(spark) // num_shards))
 
 
-def spread(df: DataFrame, num_shards: int, part: Column, shard_column: str = "shard") -> DataFrame:
+def spread(
+    df: DataFrame, num_shards: int, part: Column, shard_column: str = "shard", split: bool = True
+) -> DataFrame:
     """Rows shuffled by shard and part of a shard, ``part`` being below ``parts_per_shard``.
 
     So the number of shards does not set the number of tasks.  Parts are dealt out to shuffle
@@ -48,6 +50,8 @@ def spread(df: DataFrame, num_shards: int, part: Column, shard_column: str = "sh
     a partition that is larger than the advisory size and packs small ones together; without
     adaptive execution, for which Spark ignores that hint, it is a plain one.  Should Spark ever
     hash otherwise, only the balance of the tasks would change.
+
+    Without ``split`` all rows of a part stay in one task, and the key is kept as ``__turn``.
     """
     spark = df.sparkSession
     partitions = shuffle_partitions(spark)
@@ -56,6 +60,8 @@ def spread(df: DataFrame, num_shards: int, part: Column, shard_column: str = "sh
     keys = F.split(F.lit(" ".join(str(int_hashing_to(n)) for n in range(partitions))), " ")
     key = F.get(keys, F.pmod(turn, F.lit(partitions))).cast("int")
     keyed = df.withColumn("__turn", key)
+    if not split:
+        return keyed.repartition("__turn")
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
         shuffled = keyed.hint("rebalance", partitions, "__turn")
     else:

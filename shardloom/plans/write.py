@@ -2,33 +2,52 @@
 
 Layout of a snapshot directory::
 
-    docs/shard=<k>/*.parquet   _id, source (JSON), fields (typed columns but for text)
+    docs/shard=<k>/part=<p>/*.parquet
+                               _id, source (JSON), fields (typed columns but for text), lists (all values
+                               of fields with several), ignored (fields that left values out), digest;
+                               sorted by id; the part is a hash of the id
+    zones/*.json               one row per file: rows, digest, and ids at some ranks
     manifest/*.json            one row per shard; its presence makes the directory a snapshot
     search/<field>/...         optional, see ``shardloom.plans.search_tables``
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardloom.config import SnapshotConfig, check_output, new_job_id, snapshot_path
 from shardloom.functions.hashing import num_routing_shards
-from shardloom.mapping import mapping_json, stored_fields, text_fields
+from shardloom.mapping import (
+    ignores_malformed,
+    lists_type,
+    mapping_json,
+    mapping_to_schema,
+    stored_fields,
+    text_fields,
+)
 from shardloom.operators.conform import (
+    Conformed,
     check_columns,
     fits_by_schema,
     json_conformance,
     row_conformance,
 )
 from shardloom.operators.documents import extract_id, require_id, to_source_json
-from shardloom.operators.routing import parts_per_shard, shard_counts, spread, with_shard
+from shardloom.operators.routing import (
+    parts_per_shard,
+    spread,
+    with_empty_shards,
+    with_shard,
+)
 from shardloom.operators.upsert import upsert_by_id
 from shardloom.sources.jsonl import read_jsonl_documents
 from shardloom.sources.rows import documents_from_dataframe, source_struct
@@ -38,6 +57,12 @@ SNAPSHOT_NAME = "snap"
 GENERATION = 0
 REPLICAS = 0
 
+NOT_UNIQUE = "ids are not unique,"
+ZONES_SCHEMA = (
+    "shard int, part int, file string, num_parts int, doc_count bigint, digest decimal(38,0), "
+    "ranks array<struct<rank:bigint,_id:string>>"
+)
+
 OrderBy = Column | str | Sequence[Column | str] | None
 
 
@@ -57,6 +82,10 @@ def docs_path(path: str) -> str:
     return f"{path}/docs"
 
 
+def zones_path(path: str) -> str:
+    return f"{path}/zones"
+
+
 def manifest_path(path: str) -> str:
     return f"{path}/manifest"
 
@@ -66,7 +95,22 @@ def docs_schema(mapping: Mapping[str, Any] | str) -> T.StructType:
     fields = stored_fields(mapping)
     if fields.fields:
         schema = schema.add("fields", fields)
-    return schema.add("shard", T.IntegerType())
+    declared = mapping_to_schema(mapping)
+    if declared.fields:
+        schema = schema.add("lists", lists_type(declared))
+    if ignores_malformed(mapping):
+        schema = schema.add("ignored", T.ArrayType(T.StringType()))
+    return schema.add("digest", T.LongType()).add("shard", T.IntegerType()).add("part", T.IntegerType())
+
+
+def part_of(doc_id: Column, num_parts: int | Column) -> Column:
+    """Which part of its shard a document is in."""
+    parts = F.lit(num_parts) if isinstance(num_parts, int) else num_parts
+    return F.pmod(F.xxhash64(doc_id), parts).cast("int")
+
+
+def digest_of(doc_id: Column, source: Column) -> Column:
+    return F.xxhash64(doc_id, source)
 
 
 def write_snapshot(
@@ -98,12 +142,12 @@ def write_snapshot(
     schema = T.StructType([f for f in df.schema.fields if f.name != id_field])
     check_columns(schema, config.mapping)
     if not fits_by_schema(schema) or not schema.fields:
-        # Maps, arrays and variants say too little by type: check their values as JSON.
+        # Maps and variants say too little by type: check their values as JSON.
         docs = documents_from_dataframe(newest, id_field)
         return _write_json(docs, config, job_id, None, unique)
 
     row = F.col("__row")
-    typed, guard = row_conformance(row, schema, config.mapping, skip=text_fields(config.mapping))
+    made = row_conformance(row, schema, config.mapping, skip=text_fields(config.mapping))
     path, job_id = _target(df.sparkSession, config, job_id)
     keyed = newest.select(
         require_id(extract_id(id_field), id_field).alias("_id"),
@@ -111,8 +155,8 @@ def write_snapshot(
     )
     # JSON and typed copies are made after the shuffle: only one form of a row travels.
     return _commit(
-        _to_shards(keyed, config.num_shards), to_source_json(row), typed, guard,
-        config, path, job_id, unique,
+        _to_shards(keyed, config.num_shards, unique), to_source_json(row), made,
+        config, path, job_id,
     )
 
 
@@ -171,13 +215,11 @@ def _write_json(
     newest = docs if order_by is None else upsert_by_id(docs, order_by)
     keyed = newest.select(require_id(extract_id("_id"), "_id").alias("_id"), "source")
     # Only the source travels; it is parsed and checked after the shuffle.
-    parsed, typed, guard = json_conformance(
-        _to_shards(keyed, config.num_shards), config.mapping, skip=text_fields(config.mapping)
-    )
-    return _commit(
-        parsed, F.col("source"), typed, guard, config, path, job_id,
-        unique or order_by is not None,
+    made = json_conformance(
+        _to_shards(keyed, config.num_shards, unique or order_by is not None),
+        config.mapping, skip=text_fields(config.mapping),
     )
+    return _commit(made.rows, F.col("source"), made, config, path, job_id)
 
 
 def _target(spark: SparkSession, config: SnapshotConfig, job_id: str | None) -> tuple[str, str]:
@@ -187,58 +229,73 @@ def _target(spark: SparkSession, config: SnapshotConfig, job_id: str | None) ->
     return path, job_id
 
 
-def _to_shards(docs: DataFrame, num_shards: int) -> DataFrame:
-    """Rows shuffled by shard and sorted by id inside each task.
+def _to_shards(docs: DataFrame, num_shards: int, unique: bool) -> DataFrame:
+    """Rows shuffled by shard and part, sorted by id inside each task: the only shuffle of a write.
 
-    A shard is cut into parts by a hash of the id.  The order gives Parquet narrow id ranges.
+    A shard is cut into parts by a hash of the id.  The order gives Parquet narrow id ranges.  All rows of
+    an id meet in one task, so unless ids are ``unique`` already, the order shows those that are not, and
+    the job fails before it commits a file.
     """
-    part = F.pmod(F.xxhash64("_id"), F.lit(parts_per_shard(docs.sparkSession, num_shards)))
-    routed = spread(with_shard(docs, num_shards), num_shards, part.cast("int"))
-    return routed.sortWithinPartitions("shard", "_id")
+    parts = parts_per_shard(docs.sparkSession, num_shards)
+    routed = with_shard(docs, num_shards).withColumn("part", part_of(F.col("_id"), parts))
+    if unique:
+        return spread(routed, num_shards, F.col("part")).sortWithinPartitions("shard", "part", "_id")
+    turns = spread(routed, num_shards, F.col("part"), split=False)
+    same = Window.partitionBy("__turn", "shard", "part", "_id").orderBy(F.lit(0))
+    again = F.row_number().over(same) > 1
+    message = F.concat(F.lit(NOT_UNIQUE), F.lit(" for example "), F.col("_id"), F.lit(": pass order_by to keep the newest row of each"))
+    one = F.when(again, F.raise_error(message).cast("string")).otherwise(F.col("_id"))
+    return turns.withColumn("_id", one).drop("__turn")
 
 
 def _commit(
     docs: DataFrame,
     source: Column,
-    typed: Column | None,
-    guard: Column | None,
+    made: Conformed,
     config: SnapshotConfig,
     path: str,
     job_id: str,
-    unique: bool,
 ) -> WrittenSnapshot:
-    """Write documents, then check what was written, then write the manifest.
+    """Write documents, then the ranges of ids that the files hold, then the manifest.
 
     The guard is part of the stored source, so no document is written without its check.
     """
-    checked = source if guard is None else F.when(guard, source)
-    docs.select(
-        "_id",
-        checked.alias("source"),
-        *([] if typed is None else [typed.alias("fields")]),
-        "shard",
-    ).write.mode("errorifexists").option("parquet.bloom.filter.enabled#_id", "true").partitionBy(
-        "shard"
-    ).parquet(docs_path(path))
-
-    stored = docs.sparkSession.read.schema(docs_schema(config.mapping)).parquet(docs_path(path))
-    if not unique:
-        _require_unique_ids(stored)
-    manifest = manifest_of(stored, config)
+    checked = source if made.guard is None else F.when(made.guard, source)
+    rows = docs.select("_id", checked.alias("source"), *made.columns(), "shard", "part")
+    try:
+        rows.withColumn("digest", digest_of(F.col("_id"), F.col("source"))).write.mode("errorifexists").option(
+            "parquet.bloom.filter.enabled#_id", "true"
+        ).partitionBy("shard", "part").parquet(docs_path(path))
+    except PySparkException as error:
+        if NOT_UNIQUE in str(error):
+            found = re.search(f"{NOT_UNIQUE}.*", str(error))
+            raise DuplicateIdError(found.group() if found else NOT_UNIQUE) from error
+        raise
+    spark = docs.sparkSession
+    stored = spark.read.schema(docs_schema(config.mapping)).parquet(docs_path(path))
+    parts = parts_per_shard(spark, config.num_shards)
+    zones_of(stored, parts).coalesce(1).write.mode("errorifexists").json(zones_path(path))
+    zones = spark.read.schema(ZONES_SCHEMA).json(zones_path(path))
+    manifest = manifest_of(zones, config)
     manifest.coalesce(1).write.mode("errorifexists").json(manifest_path(path))
     return WrittenSnapshot(path, job_id, config.index_name, config.num_shards)
 
 
-def _require_unique_ids(stored: DataFrame) -> None:
-    """Only ids are read, and counts are combined per map task before the shuffle."""
-    repeated = (
-        stored.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(5).collect()
+def zones_of(stored: DataFrame, num_parts: int) -> DataFrame:
+    """One row per file: its rows, the sum of their digests, and its ids at ranks 0, 1, 3, 7, 15, ...
+
+    Files are sorted by id, so the number of a row in its file is its rank.  Only ids and digests are read,
+    and each task sends a few dozen ids per file.
+    """
+    row, file = F.col("_metadata.row_index"), F.col("_metadata.file_path")
+    ranked = row.bitwiseAND(row + 1) == 0
+    rows = stored.select("shard", "part", file.alias("file"), F.when(ranked, F.struct(row.alias("rank"), "_id")).alias("at"), "digest")
+    return rows.groupBy("shard", "part", "file").agg(
+        F.lit(num_parts).alias("num_parts"),
+        F.count(F.lit(1)).alias("doc_count"),
+        F.sum(F.col("digest").cast("decimal(38,0)")).alias("digest"),
+        F.sort_array(F.collect_list("at")).alias("ranks"),
     )
-    if repeated:
-        ids = ", ".join(f"{row['_id']} ({row['n']} times)" for row in repeated)
-        raise DuplicateIdError(
-            f"ids are not unique, for example {ids}: pass order_by to keep the newest row of each"
-        )
 
 
 def index_settings(num_shards: int) -> dict[str, int]:
@@ -250,11 +307,8 @@ def index_settings(num_shards: int) -> dict[str, int]:
     }
 
 
-def manifest_of(stored: DataFrame, config: SnapshotConfig) -> DataFrame:
-    """One row per shard, empty shards included: index settings and document count.
-
-    Counting reads no column of the stored files, only their row counts.
-    """
+def manifest_of(zones: DataFrame, config: SnapshotConfig) -> DataFrame:
+    """One row per shard, empty shards included: index settings and document count."""
     constants = {
         "index_name": F.lit(config.index_name),
         "index_uuid": F.lit(uuid.uuid4().hex),
@@ -264,7 +318,7 @@ def manifest_of(stored: DataFrame, config: SnapshotConfig) -> DataFrame:
         "id_field": F.lit(config.id_field),
         "mapping": F.lit(mapping_json(config.mapping)),
     }
-    counts = shard_counts(stored, config.num_shards)
-    return counts.select(
+    counts = zones.groupBy("shard").agg(F.sum("doc_count").alias("doc_count"))
+    return with_empty_shards(counts, config.num_shards).select(
         *[value.alias(name) for name, value in constants.items()], "shard", "doc_count"
     )

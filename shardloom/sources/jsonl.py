@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.config import DEFAULT_ID_FIELD
-from shardloom.operators.documents import json_members, require_id, to_source_json
+from shardloom.operators.documents import checked_object, member_text, require_id, without_member
 
 # What counts as blank at either end of a line, U+0000 to U+0020.
 BLANKS = "".join(map(chr, range(0x21)))
@@ -18,10 +18,6 @@ def skip_blank_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     return trimmed.where(F.col(value) != "")
 
 
-def drop_key(fields: Column, key: str) -> Column:
-    return F.map_filter(fields, lambda name, _: name != key)
-
-
 def read_jsonl_documents(
     spark: SparkSession,
     path: str | list[str],
@@ -30,17 +26,16 @@ def read_jsonl_documents(
 ) -> DataFrame:
     """``(_id, source)`` from files with one JSON object per line.
 
-    Any JSON value serves as id and is turned into a string.  By default the id leaves the
-    source only if its field is ``_id``.  Malformed JSON, a repeated key, a line that is not an
-    object and a missing or null id fail the job.
+    Any JSON value serves as id, by its text.  By default the id leaves the source only if its field
+    is ``_id``; all else in the source stays as it is written.  Malformed JSON, a repeated key, a line
+    that is not an object and a missing or null id fail the job.
     """
     if keep_id is None:
         keep_id = id_field != DEFAULT_ID_FIELD
     lines = skip_blank_lines(spark.read.text(path).select("value", "_metadata.file_path"))
     where = F.concat(F.lit("line in "), F.col("file_path"))
-    parsed = lines.select("file_path", json_members(F.col("value"), where).alias("fields"))
-    fields = F.col("fields")
-    return parsed.select(
-        require_id(fields[id_field].cast("string"), id_field, F.col("file_path")).alias("_id"),
-        to_source_json(fields if keep_id else drop_key(fields, id_field)).alias("source"),
+    line = F.col("line")
+    return lines.select("file_path", checked_object(F.col("value"), where).alias("line")).select(
+        require_id(member_text(line, id_field), id_field, F.col("file_path")).alias("_id"),
+        (line if keep_id else without_member(line, id_field)).alias("source"),
     )

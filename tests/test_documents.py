@@ -1,15 +1,17 @@
 import json
 import tempfile
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import shardloom as sl
+from shardloom.operators.documents import without_member, without_member_by_tokens
 
 
 def jsonl(folder, *lines):
@@ -39,12 +41,87 @@ def test_values_survive(spark, folder):
 
 @pytest.mark.parametrize(
     ("value", "doc_id"),
-    [("5", "5"), ('"x y"', "x y"), ("2.5", "2.5"), ("true", "true"), ('""', "")],
+    [
+        ("5", "5"), ('"x y"', "x y"), ("2.5", "2.5"), ("true", "true"), ('""', ""), ("1.0", "1.0"), ("1e400", "1e400"),
+        ("123456789012345678901234567890123456789012345", "123456789012345678901234567890123456789012345"),
+        ('"1.0"', "1.0"), ('"q\\"u\\u00e9"', 'q"ué'), ('{"a": 1.0}', '{"a": 1.0}'), ("[1, 2]", "[1, 2]"),
+    ],
 )
 def test_id_becomes_a_string(spark, folder, value, doc_id):
     assert read(spark, folder, '{"_id":%s,"x":1}' % value) == {doc_id: {"x": 1}}
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        '{"_id":"a"}', '{ "_id" : "a" }', '{"_id":"a","x":1.0}', '{"x" : 1e400 , "_id":"a"}', '{"x":1,"_id":"a", "y":[{"_id":2.50}]}',
+        '{"x":"_id","_id":"a"}', '{"x":{"_id":"b"},"_id":"a"}', r'{"\u005fid":"a","x":{"_id":3}}', r'{"x":"\"_id\":7,","_id":"a"}',
+        '{"_id":"a","x":"a, \\"b\\": {[","n":45678901234567890123456789012345678901234567890.10}', '{"y":{},"_id":"a","z":[]}',
+    ],
+)
+def test_the_id_is_cut_out_and_all_else_stays_as_written(spark, folder, line):
+    row = sl.read_jsonl_documents(spark, jsonl(folder, line)).first()
+    exact = {"parse_float": Decimal, "parse_int": Decimal}
+    expected = json.loads(line, **exact)
+    assert row["_id"] == expected.pop("_id") == "a"
+    assert json.loads(row["source"], **exact) == expected
+
+
+def test_both_ways_to_cut_give_the_same(spark, folder):
+    lines = ['{"_id":"a"}', '{"_id":"a","x":1}', '{"x":1,"_id":"a"}', '{"x":1, "_id" : 5 , "y":{"z":[1,2]}}', '{"x":1,"_id":null,"y":2}']
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    found = df.select(without_member(F.col("value"), "_id"), without_member_by_tokens(F.col("value"), "_id")).collect()
+    for line, (fast, slow) in zip(lines, found, strict=True):
+        expected = {k: v for k, v in json.loads(line).items() if k != "_id"}
+        assert json.loads(fast) == json.loads(slow) == expected
+
+
+def test_strings_of_any_length(spark, folder):
+    """A string that variants do not hold: read, checked, stored, restored; on both paths."""
+    mapping = {"properties": {"x": {"type": "text"}, "k": {"type": "keyword"}, "n": {"type": "long"}}}
+    long = "ab" * 10_500_000
+    line = json.dumps({"_id": "a", "x": long, "k": "k" + long, "n": 3})
+    docs = sl.read_jsonl_documents(spark, jsonl(folder, line, '{"_id":"b","n":4}'))
+    written = sl.write_documents(docs, folder + "/out", "long", mapping, 1)
+    fields = sl.restore(spark, written.path).where("_id = 'a'").select("fields.*").first()
+    assert fields["x"] == long and fields["k"] == "k" + long and fields["n"] == 3
+    rows = spark.createDataFrame([("a", long, "k" + long, 3)], "_id string, x string, k string, n long")
+    written = sl.write_snapshot(rows, folder + "/rows", "long", mapping, 1)
+    assert sl.restore(spark, written.path).select("fields.*").first() == fields
+    with pytest.raises(PySparkException, match="does not fit the mapping in n"):
+        bad = sl.read_jsonl_documents(spark, jsonl(folder, json.dumps({"_id": "a", "x": long, "n": "q"})))
+        sl.write_documents(bad, folder + "/bad", "long", mapping, 1)
+
+
+def test_both_paths_store_the_same_texts(spark, folder):
+    mapping = {"properties": dict.fromkeys(["f", "d", "t", "b", "l", "a"], {"type": "keyword"})}
+    rows = spark.sql(
+        "select 'a' as _id, 1.0d as f, 12345678901234567890.50 as d, timestamp'2024-01-02 03:04:05.123456' as t, "
+        "true as b, 7L as l, array(1.0d, 2.5d) as a"
+    )
+    by_type = sl.open_snapshot(spark, sl.write_snapshot(rows, folder + "/rows", "i", mapping, 1).path)
+    docs = sl.documents_from_dataframe(rows)
+    by_json = sl.open_snapshot(spark, sl.write_documents(docs, folder + "/json", "i", mapping, 1).path)
+    found = [s.documents().select("fields.*", "lists.a").collect() for s in (by_type, by_json)]
+    assert found[0] == found[1]
+    assert found[0][0][:6] == ("1.0", "12345678901234567890.50", "2024-01-02T03:04:05.123456Z", "true", "7", "1.0")
+
+
+NUMBERS = st.one_of(
+    st.integers(-(10**60), 10**60).map(str),
+    st.decimals(allow_nan=False, allow_infinity=False).map(lambda d: f"{d:f}" if abs(d.as_tuple().exponent) < 60 else "1e-70"),
+    st.tuples(st.integers(-9, 9), st.integers(-500, 500)).map(lambda p: f"{p[0]}e{p[1]}"),
+)
+
+
+@settings(max_examples=3, phases=[Phase.generate], deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(NUMBERS, NUMBERS), min_size=20, max_size=40, unique_by=lambda p: p[0]))
+def test_numbers_stay_as_written(spark, pairs):
+    lines = ['{"x":%s,"_id":%s,"y":[%s]}' % (b, a, b) for a, b in pairs]
+    rows = sl.read_jsonl_documents(spark, jsonl(tempfile.mkdtemp(prefix="run-", dir="/tmp"), *lines)).collect()
+    assert {(r["_id"], r["source"]) for r in rows} == {(a, '{"x":%s,"y":[%s]}' % (b, b)) for a, b in pairs}
+
+
 def test_custom_id_stays_in_the_source(spark, folder):
     assert read(spark, folder, '{"docid":7,"text":"x"}', id_field="docid") == {
         "7": {"docid": 7, "text": "x"}
