@@ -529,6 +529,32 @@ def match_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sl.match_query(post, sl.field_stats(post), terms, 20).select("_id", "_score")
 
 
+def match_all_large_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page that ends within a shard, with its documents."""
+    snapshot = indexed(documents(spark, sf_dir), "documents", DOCUMENTS, 5)
+    hits = snapshot.match_all(777)
+    fields = F.from_json("_source", "doc_id bigint, lang string, n_chars int")
+    return hits.select("_index", "_id", "_score", *[fields[c].alias(c) for c in ("doc_id", "lang", "n_chars")])
+
+
+def stored_term_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshot = indexed(documents(spark, sf_dir), "documents", DOCUMENTS, 4)
+    snapshot.write_search_tables("text")
+    return snapshot.term_dictionary("text")
+
+
+def misrouted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders placed by the remainder of their key instead of the hash of their id."""
+    orders = table(spark, sf_dir, "orders")
+    placed = orders.select(key("o_orderkey"), (F.col("o_orderkey") % 4).cast("int").alias("shard"))
+    return sl.verify_routing(placed, 4)
+
+
+def shard_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards whose stored rows are those that were written."""
+    return indexed(documents(spark, sf_dir), "documents", DOCUMENTS, 5).shards_summary(contents=True)
+
+
 def match_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same search on the stored tables of a snapshot."""
     snapshot = indexed(documents(spark, sf_dir), "documents", DOCUMENTS, 4)
@@ -592,6 +618,10 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             field_stats,
             match_query,
             match_stored,
+            match_all_large_page,
+            stored_term_dictionary,
+            misrouted_documents,
+            shard_contents,
         )
     }
 
@@ -638,8 +668,12 @@ def _hashed(ids: str) -> str:
                FROM f3)"""
 
 
+#: Virtual shards for the numbers of shards that the queries use.
+ROUTING_SHARDS = {2: 1024, 3: 768, 4: 1024, 5: 640, 6: 768, 7: 896, 8: 1024, 16: 1024}
+
+
 def _shard(num_shards: int, hash_value: str = "hash") -> str:
-    routing = sl.num_routing_shards(num_shards)
+    routing = ROUTING_SHARDS[num_shards]
     return (
         f"((({hash_value} % {routing}) + {routing}) % {routing} // {routing // num_shards})::INTEGER"
     )
@@ -849,5 +883,21 @@ def core_oracle_sql() -> dict[str, str]:
             SELECT count(*) AS doc_count, sum(doc_len)::BIGINT AS sum_tokens,
                    sum(doc_len) / count(*) AS avg_len FROM lengths""",
         "match_query": _bm25("_id, _score"),
+        "match_all_large_page": f"""
+            WITH {_routed(docs, 5)}
+            SELECT 'documents' AS _index, _id, 1.0::DOUBLE AS _score, doc_id, lang, n_chars::INTEGER AS n_chars
+            FROM documents JOIN routed ON _id = {_id("doc_id")} ORDER BY shard, _id LIMIT 777""",
+        "stored_term_dictionary": f"""
+            WITH {DOCUMENT_TERMS}
+            SELECT term, count(*) AS doc_freq, sum(tf)::BIGINT AS total_tf
+            FROM terms GROUP BY term""",
+        "misrouted_documents": f"""
+            WITH {_hashed(_ids("orders", "o_orderkey"))},
+            placed AS (SELECT {_id("o_orderkey")} AS _id, (o_orderkey % 4)::INTEGER AS shard FROM orders)
+            SELECT _id, placed.shard, {_shard(4)} AS expected_shard FROM placed JOIN hashed USING (_id)
+            WHERE placed.shard <> {_shard(4)}""",
+        "shard_contents": """
+            SELECT 5::BIGINT AS total, 5::BIGINT AS successful, 0::BIGINT AS skipped,
+                   0::BIGINT AS failed""",
         "match_stored": _bm25("'documents' AS _index, _id, _score"),
     }

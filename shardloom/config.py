@@ -35,11 +35,11 @@ class SnapshotConfig:
 
     def __post_init__(self) -> None:
         if not self.output_dir:
-            raise ValueError("output directory missing: set the snapshot output root directory")
+            raise ValueError("output directory missing: name the folder under which jobs put their snapshots")
         if not self.index_name or "/" in self.index_name:
             raise ValueError(f"index name must be non-empty and without '/': {self.index_name!r}")
         if isinstance(self.num_shards, bool) or not isinstance(self.num_shards, int):
-            raise ValueError(f"number of shards must be an integer, got {self.num_shards!r}")
+            raise ValueError(f"number of shards must be an integer, not {self.num_shards!r}")
         if self.num_shards < 1:
             raise ValueError(f"number of shards must be >= 1, got {self.num_shards}")
         object.__setattr__(self, "mapping", normalize_mapping(self.mapping))
@@ -128,6 +128,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(jvm_path)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly under a path; none if it does not exist."""
+    filesystem, jvm_path = _filesystem(spark, path)
+    if not filesystem.exists(jvm_path):
+        return []
+    return [status.getPath().getName() for status in filesystem.listStatus(jvm_path)]
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below a path."""
     filesystem, jvm_path = _filesystem(spark, path)

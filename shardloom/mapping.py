@@ -91,7 +91,7 @@ def mapping_from_dict(mapping: Mapping[str, Any] | str | None) -> dict[str, Any]
     """The mapping as a new dict, from a dict or from JSON text."""
     if mapping is None or mapping == "":
         raise ValueError(
-            "mapping missing: set the index field mapping (all fields must be declared)"
+            "mapping missing: pass one that declares every field of the documents"
         )
     if isinstance(mapping, str):
         try:

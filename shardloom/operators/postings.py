@@ -68,10 +68,17 @@ def field_stats(post: DataFrame) -> DataFrame:
     without a distinct.
     """
     first = F.get("positions", F.lit(0)) == 0
-    return post.agg(
-        F.count_if(first).alias("doc_count"),
-        F.coalesce(F.sum("tf"), F.lit(0)).alias("sum_tokens"),
-    ).withColumn(
+    return with_average(
+        post.agg(
+            F.count_if(first).alias("doc_count"),
+            F.coalesce(F.sum("tf"), F.lit(0)).alias("sum_tokens"),
+        )
+    )
+
+
+def with_average(stats: DataFrame) -> DataFrame:
+    """``(doc_count, sum_tokens)`` with ``avg_len``."""
+    return stats.withColumn(
         "avg_len",
         F.when(F.col("doc_count") > 0, F.col("sum_tokens") / F.col("doc_count")).otherwise(0.0),
     )

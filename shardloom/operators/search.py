@@ -15,11 +15,14 @@ DEFAULT_SIZE = 10
 SCORE = "decimal(18,6)"
 
 
-def score_matches(post: DataFrame, stats: DataFrame, terms: Sequence[str]) -> DataFrame:
+def score_matches(
+    post: DataFrame, stats: DataFrame, terms: Sequence[str], dictionary: DataFrame | None = None
+) -> DataFrame:
     """``(shard, _id, _score)`` of every document that holds at least one of the terms.
 
     ``stats`` is the one-row result of ``field_stats``; statistics are global, so scores do not
-    depend on the number of shards.  A term's share is rounded before it is added, which makes
+    depend on the number of shards.  With a ``dictionary`` of ``(term, doc_freq)`` postings are read once, else
+    also to count documents per term.  A term's share is rounded before it is added, which makes
     the sum exact and independent of the order of addition.
     """
     hits = post.where(F.col("term").isin(list(terms))).select(
@@ -27,10 +30,12 @@ def score_matches(post: DataFrame, stats: DataFrame, terms: Sequence[str]) -> Da
     )
     totals = stats.select(F.struct("doc_count", "avg_len")).scalar()
     # At most one row per query term: small enough to send to every task.
+    if dictionary is None:
+        counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        counts = dictionary.where(F.col("term").isin(list(terms))).select("term", F.col("doc_freq").alias("df"))
     weights = (
-        hits.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .select("term", "df", totals.alias("totals"))
+        counts.select("term", "df", totals.alias("totals"))
         .select(
             "term",
             F.col("totals.avg_len").alias("avg_len"),
@@ -50,7 +55,11 @@ def score_matches(post: DataFrame, stats: DataFrame, terms: Sequence[str]) -> Da
 
 
 def match_query(
-    post: DataFrame, stats: DataFrame, terms: Sequence[str], size: int = DEFAULT_SIZE
+    post: DataFrame,
+    stats: DataFrame,
+    terms: Sequence[str],
+    size: int = DEFAULT_SIZE,
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
     """The ``size`` best documents, ``(shard, _id, _score)``; ties in order of ``_id``."""
-    return score_matches(post, stats, terms).orderBy(F.desc("_score"), "_id").limit(size)
+    return score_matches(post, stats, terms, dictionary).orderBy(F.desc("_score"), "_id").limit(size)

@@ -16,7 +16,14 @@ from shardloom.mapping import stored_fields, text_fields, text_paths
 from shardloom.operators.routing import verify_routing
 from shardloom.operators.search import DEFAULT_SIZE, match_query
 from shardloom.plans.scratch import scratch_dir
-from shardloom.plans.search_tables import read_postings, read_stats, slices_for, write_postings
+from shardloom.plans.search_tables import (
+    generation_path,
+    read_postings,
+    read_stats,
+    read_terms,
+    slices_for,
+    write_postings,
+)
 from shardloom.plans.write import (
     ZONES_SCHEMA,
     digest_of,
@@ -278,7 +285,11 @@ class Snapshot:
             write_postings(docs, self.path, field, self.num_shards, slices)
 
     def postings(self, field: str) -> DataFrame:
-        return read_postings(self.spark, self.path, field)
+        return read_postings(self.spark, generation_path(self.spark, self.path, field))
+
+    def term_dictionary(self, field: str) -> DataFrame:
+        """``(term, doc_freq, total_tf)`` as stored beside the postings."""
+        return read_terms(self.spark, generation_path(self.spark, self.path, field))
 
     def match(self, field: str, text: str, size: int = DEFAULT_SIZE) -> DataFrame:
         """The ``size`` best hits for any word of ``text``, as ``match_all`` returns them.
@@ -286,6 +297,9 @@ class Snapshot:
         Needs the search tables of the field.
         """
         terms = query_terms(self.spark, text)
-        post = read_postings(self.spark, self.path, field, terms)
-        best = match_query(post, read_stats(self.spark, self.path, field), terms, size)
+        generation = generation_path(self.spark, self.path, field)
+        stats = read_stats(self.spark, generation)
+        slices = stats.first()["slices"]
+        post = read_postings(self.spark, generation, terms, slices)
+        best = match_query(post, stats, terms, size, read_terms(self.spark, generation, terms, slices))
         return self._ordered(self._fetch(best, size), size, F.desc("_score"), "_id").drop("shard")
