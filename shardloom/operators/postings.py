@@ -16,12 +16,16 @@ from shardloom.operators.documents import column
 
 
 def postings(
-    docs: DataFrame, field: str = "text", id_column: str = "_id", shard_column: str = "shard"
+    docs: DataFrame,
+    field: str = "text",
+    id_column: str = "_id",
+    shard_column: str = "shard",
+    unicode_words: bool = False,
 ) -> DataFrame:
     """``(shard, term, _id, tf, positions, doc_len)``; ``positions`` ascend from 0."""
     keys = [F.col(shard_column).alias("shard"), F.col(id_column).alias("_id")]
     located = F.transform(
-        token_array(column(field)),
+        token_array(column(field), unicode_words),
         lambda term, position: F.struct(term.alias("term"), position.alias("position")),
     )
     tokens, starts, length = F.col("__tokens"), F.col("__starts"), F.col("doc_len")

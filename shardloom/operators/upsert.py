@@ -34,10 +34,11 @@ def upsert_by_id(
     if not keys:
         raise ValueError("order_by is needed to tell which row of an id is the newest")
     named = {key for key in keys if isinstance(key, str)} | {id_column}
+    # Maps and variants have no order of their own: their JSON text has.
     ties = [
-        column(field.name)
+        column(field.name) if _orderable(field.dataType) else F.to_json(F.struct(column(field.name)))
         for field in df.schema.fields
-        if field.name not in named and _orderable(field.dataType)
+        if field.name not in named
     ]
     order = [key if isinstance(key, Column) else F.col(key) for key in keys] + ties
     newest = Window.partitionBy(column(id_column)).orderBy(*[key.desc_nulls_last() for key in order])

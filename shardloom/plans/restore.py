@@ -270,8 +270,11 @@ class Snapshot:
             self.stored_documents().select("_id", "shard"), self.num_shards
         )
 
-    def write_search_tables(self, *fields: str) -> None:
-        """Build the postings of text fields, named by dotted path (all of them by default)."""
+    def write_search_tables(self, *fields: str, unicode_words: bool = False) -> None:
+        """Build the postings of text fields, named by dotted path (all of them by default).
+
+        ``unicode_words`` chooses what a word is, see ``shardloom.functions.tokens``; searches follow it.
+        """
         declared = text_paths(self.mapping)
         unknown = [field for field in fields if field not in declared]
         if unknown:
@@ -282,7 +285,7 @@ class Snapshot:
             # The values of a text are one text, one after the other.
             text = F.array_join(self.values(".".join(declared[field])), "\n").alias(field)
             docs = self.documents().select("shard", "_id", text)
-            write_postings(docs, self.path, field, self.num_shards, slices)
+            write_postings(docs, self.path, field, self.num_shards, slices, unicode_words)
 
     def postings(self, field: str) -> DataFrame:
         return read_postings(self.spark, generation_path(self.spark, self.path, field))
@@ -296,10 +299,10 @@ class Snapshot:
 
         Needs the search tables of the field.
         """
-        terms = query_terms(self.spark, text)
         generation = generation_path(self.spark, self.path, field)
         stats = read_stats(self.spark, generation)
-        slices = stats.first()["slices"]
+        built = stats.first()
+        slices, terms = built["slices"], query_terms(self.spark, text, built["unicode_words"])
         post = read_postings(self.spark, generation, terms, slices)
         best = match_query(post, stats, terms, size, read_terms(self.spark, generation, terms, slices))
         return self._ordered(self._fetch(best, size), size, F.desc("_score"), "_id").drop("shard")

@@ -32,7 +32,9 @@ POSTINGS_SCHEMA = (
     "shard int, slice int"
 )
 TERMS_SCHEMA = "term string, doc_freq bigint, total_tf bigint, slice int"
-STATS_SCHEMA = "doc_count bigint, sum_tokens bigint, avg_len double, slices int"
+STATS_SCHEMA = (
+    "doc_count bigint, sum_tokens bigint, avg_len double, slices int, unicode_words boolean"
+)
 
 
 def field_path(path: str, field: str) -> str:
@@ -56,7 +58,12 @@ def new_generation() -> str:
 
 
 def write_postings(
-    docs: DataFrame, path: str, field: str, num_shards: int, slices: int = 1
+    docs: DataFrame,
+    path: str,
+    field: str,
+    num_shards: int,
+    slices: int = 1,
+    unicode_words: bool = False,
 ) -> None:
     """Write the postings of ``field`` of ``(shard, _id, <field>)`` documents, then the terms, then
     the totals.
@@ -69,7 +76,7 @@ def write_postings(
     spark = docs.sparkSession
     target = f"{field_path(path, field)}/{new_generation()}"
     parts = slices * max(1, parts_per_shard(spark, num_shards) // slices)
-    sliced = postings(docs, field).withColumn("slice", slice_of(F.col("term"), slices))
+    sliced = postings(docs, field, unicode_words=unicode_words).withColumn("slice", slice_of(F.col("term"), slices))
     (
         spread(sliced, num_shards, slice_of(F.col("term"), parts))
         .sortWithinPartitions("shard", "slice", "term", "_id")
@@ -92,6 +99,7 @@ def write_postings(
         F.count_if("is_first").alias("doc_count"), F.coalesce(F.sum("tf"), F.lit(0)).alias("sum_tokens")
     )
     stats = with_average(stats).withColumn("slices", F.lit(slices))
+    stats = stats.withColumn("unicode_words", F.lit(unicode_words))
     stats.coalesce(1).write.mode("errorifexists").json(f"{target}/stats")
 
 
@@ -105,7 +113,7 @@ def generation_path(spark: SparkSession, path: str, field: str) -> str:
 
 
 def read_stats(spark: SparkSession, generation: str) -> DataFrame:
-    """One row ``(doc_count, sum_tokens, avg_len, slices)``."""
+    """One row ``(doc_count, sum_tokens, avg_len, slices, unicode_words)``."""
     return spark.read.schema(STATS_SCHEMA).json(f"{generation}/stats")
 
 

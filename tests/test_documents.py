@@ -232,6 +232,13 @@ def test_upsert_with_maps(spark):
     assert sl.upsert_by_id(df, ["ts"]).first()["m"] == {"x": 2}
 
 
+def test_upsert_breaks_ties_of_maps_and_variants(spark):
+    rows = " union all ".join(f"select 'a' as _id, 1 as ts, map('k', {i}) as m, parse_json('{i}') as v" for i in (3, 5, 4))
+    for n in (1, 4):
+        row = sl.upsert_by_id(spark.sql(rows).repartition(n), "ts").selectExpr("m", "to_json(v) as v").first()
+        assert (row["m"], row["v"]) == ({"k": 5}, "5")
+
+
 def test_upsert_needs_an_order(spark):
     with pytest.raises(ValueError, match="order_by"):
         sl.upsert_by_id(spark.range(1), [], "id")

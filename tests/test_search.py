@@ -209,3 +209,29 @@ def test_a_match_reads_postings_once(spark, tmp_path):
     best = match_query(read_postings(spark, generation, ["two"]), read_stats(spark, generation), ["two"], 10, read_terms(spark, generation, ["two"]))
     plan = best._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("doc_len") and len([line for line in plan.splitlines() if "Relation" in line and "positions#" in line]) == 1
+
+
+@pytest.mark.parametrize(
+    ("text", "words"),
+    [
+        ("can't stop", ["can't", "stop"]), ("the 'quick' (brown) fox can’t jump 32.3 feet, right?", ["the", "quick", "brown", "fox", "can’t", "jump", "32.3", "feet", "right"]),
+        ("3.14 1,000.5 7:30", ["3.14", "1,000.5", "7", "30"]), ("a.b.c. end.", ["a.b.c", "end"]), ("foo_bar _x_ __", ["foo_bar", "_x_"]),
+        ("日本語 ひら カタカナ", ["日", "本", "語", "ひ", "ら", "カタカナ"]), ("e\u0301te\u0301 x", ["e\u0301te\u0301", "x"]),
+        ("a1.b 1.a", ["a1", "b", "1", "a"]), ("l'été d’où", ["l'été", "d’où"]), ("", []), ("... !!", []), ("x86-64", ["x86", "64"]),
+    ],
+)
+def test_word_boundaries_of_unicode(spark, text, words):
+    df = spark.createDataFrame([("a", text)], "_id string, text string")
+    found = sl.analyze(df, "text", "_id", unicode_words=True).orderBy("position").collect()
+    assert [r["term"] for r in found] == words
+    assert [r["position"] for r in found] == list(range(len(words)))
+
+
+def test_searches_follow_the_words_of_the_tables(spark, tmp_path):
+    df = spark.createDataFrame([("a", "I can't"), ("b", "can t")], "_id string, body string")
+    written = sl.write_snapshot(df, str(tmp_path), "i", {"properties": {"body": {"type": "text"}}}, 1)
+    snapshot = sl.open_snapshot(spark, written.path)
+    snapshot.write_search_tables("body", unicode_words=True)
+    assert [h["_id"] for h in snapshot.match("body", "CAN'T").collect()] == ["a"]
+    snapshot.write_search_tables("body")
+    assert [h["_id"] for h in snapshot.match("body", "CAN'T").collect()] == ["b", "a"]
