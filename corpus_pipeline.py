@@ -12,8 +12,10 @@ documents.
 4. decontamination: documents that hold a test item go.
 5. mixing: the copies and words that the mix takes of each document.
 
-Rows without an id stay in stages 1 to 4, rows without a text go in stage 1; an empty table gives an
-empty result.
+Rows are judged one by one, not by id: other texts of an id stay, and of equal rows of one id and text one
+stays.  Rows without an id are judged like others and come last in their group, rows without a text go
+in stage 1; ties go to the smallest id; very long texts are worked on whole; other columns stay as they are; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
