@@ -8,7 +8,8 @@ of the id, train a logistic scorer on hashed shapes of words: each task descends
 Spark averages the weights by feature.
 
 Defined results: null and empty texts have no votes but those for too few words, and are scored like
-others; repeated rows are scored each; an empty table gives an empty result.  Other columns are
+others; very long texts are measured whole; repeated rows are scored each; equal texts get equal
+scores, and a score of 0.5 is kept; an empty table gives an empty result.  Other columns are
 ignored.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import Query, cut, read
+from shardloom.llm.common import Query, cut, read, stored
 
 #: Documents that the scorer learns from, about; hashed features; rounds of averaging.
 ROWS = 20_000
@@ -34,6 +36,18 @@ KEPT_SHAPES = 200_000
 LETTER = re.compile(r"[^\W\d_]")
 
 
+#: Whether each ASCII character is a letter, white space, a capital.
+_ASCII_KINDS = np.array([[test(chr(c)) for c in range(128)] for test in (str.isalpha, str.isspace, str.isupper)], np.int64)
+
+
+def _kinds(text: str) -> tuple[int, int, int]:
+    """How many characters are letters, white space, capitals: each distinct character is asked once."""
+    if text.isascii():
+        return tuple((_ASCII_KINDS @ np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=128)).tolist())
+    counts = Counter(text).items()
+    return tuple(sum(n for c, n in counts if test(c)) for test in (str.isalpha, str.isspace, str.isupper))
+
+
 def votes(text: str | None) -> str:
     """One character for each labeller: length, symbols, capitals, repeated words, variety,
     repeated lines, word length, lone marks, marks at word ends."""
@@ -42,10 +56,9 @@ def votes(text: str | None) -> str:
     n = len(words)
     if n == 0:
         return "-00000000"
-    letters = sum(map(str.isalpha, text))
-    spaces = sum(map(str.isspace, text))
+    letters, spaces, upper = _kinds(text)
     symbols = (len(text) - letters - spaces) / max(len(text) - spaces, 1)
-    capitals = sum(map(str.isupper, text)) / max(letters, 1)
+    capitals = upper / max(letters, 1)
     repeats = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
     distinct = len(set(words))
     lines = [line for line in text.split("\n") if line.strip()]
@@ -134,22 +147,12 @@ def _chance(x: float) -> float:
 
 
 def train(labelled: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights of the scorer, from ``(text, posterior)``."""
-    spark = labelled.sparkSession
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shapes = Shapes()
-        for batch in batches:
-            rows = [shapes.of(text) for text in batch["text"]]
-            yield pd.DataFrame(
-                {"at": [r[0] for r in rows], "value": [r[1] for r in rows], "aim": batch["posterior"].to_numpy()}
-            )
+    """Weights of the scorer, from ``(at, value, aim)``.
 
-    rows = cut(
-        labelled.select("text", "posterior")
-        .mapInPandas(measure, "at array<long>, value array<double>, aim double")
-        .repartition(6)
-    )
+    The rows are a bounded sample, which six tasks share whatever the number of its files.
+    """
+    spark = labelled.sparkSession
+    rows = cut(labelled.select("at", "value", "aim").repartition(6))
     weights = np.zeros(FEATURES)
     for k in range(rounds):
         sent, step = spark.sparkContext.broadcast(weights), 2.0 / (1 + k)
@@ -169,48 +172,50 @@ def train(labelled: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     return weights
 
 
-def scored(spark: SparkSession, text: Column, weights: np.ndarray) -> Column:
+def scored(spark: SparkSession, weights: np.ndarray) -> Column:
+    """Scores of rows with ``at`` and ``value``."""
     sent = spark.sparkContext.broadcast(weights)
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        shapes = Shapes()
-        for batch in batches:
-            rows = (shapes.of(text) for text in batch)
-            yield pd.Series([_chance(float(value @ sent.value[at])) for at, value in rows], dtype=float)
+    def score(at: pd.Series, value: pd.Series) -> pd.Series:
+        return pd.Series([_chance(float(v @ sent.value[a])) for a, v in zip(at, value, strict=True)], dtype=float)
+
+    return score("at", "value")
 
-    return score(text)
 
+def measured(text: Column) -> Column:
+    """A struct ``(votes, at, value)``: the votes of the labellers, and hashed features."""
 
-def _votes(text: Column) -> Column:
-    @F.pandas_udf("string")
-    def cast_votes(texts: pd.Series) -> pd.Series:
-        return pd.Series([votes(text) for text in texts], dtype=object)
+    @F.pandas_udf("votes string, at array<int>, value array<double>")
+    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        shapes = Shapes()
+        for batch in batches:
+            features = [shapes.of(text) for text in batch]
+            yield pd.DataFrame(
+                {"votes": [votes(text) for text in batch], "at": [a.astype(np.int32) for a, _ in features], "value": [v for _, v in features]}
+            )
 
-    return cast_votes(text)
+    return measure(text)
 
 
 def classify(docs: DataFrame, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, votes, posterior, score, keep)`` for every row of ``docs``."""
+    """``(doc_id, votes, posterior, score, keep)`` for every row of ``docs``.
+
+    Texts are read once: votes and features of all rows are stored, a few dozen numbers each.
+    """
     spark = docs.sparkSession
-    voted = cut(docs.select("doc_id", _votes(F.col("text")).alias("votes")))
-    patterns = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}
+    found = stored(docs.select("doc_id", measured(F.col("text")).alias("m")).select("doc_id", "m.*"), "quality")
+    patterns = {r["votes"]: r["count"] for r in found.groupBy("votes").count().collect()}
     posteriors = fit_votes(patterns)
     table = F.create_map(*[F.lit(x) for item in posteriors.items() for x in item]) if posteriors else (
         F.create_map().cast("map<string,double>")
     )
+    posterior = F.element_at(table, F.col("votes")).alias("posterior")
     draw = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.where(draw < min(1.0, rows / max(sum(patterns.values()), 1)))
-    sample = sample.select("text", F.element_at(table, _votes(F.col("text"))).alias("posterior"))
-    weights = train(sample.where(F.col("posterior").isNotNull()))
-    return docs.select(
-        "doc_id", _votes(F.col("text")).alias("votes"), scored(spark, F.col("text"), weights).alias("score")
-    ).select(
-        "doc_id",
-        "votes",
-        F.element_at(table, F.col("votes")).alias("posterior"),
-        "score",
-        (F.col("score") >= 0.5).alias("keep"),
+    sample = found.where(draw < min(1.0, rows / max(sum(patterns.values()), 1)))
+    weights = train(sample.select("at", "value", posterior.alias("aim")).where(F.col("aim").isNotNull()))
+    return found.select("doc_id", "votes", posterior, scored(spark, weights).alias("score")).withColumn(
+        "keep", F.col("score") >= 0.5
     )
 
 
