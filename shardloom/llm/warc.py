@@ -9,9 +9,10 @@ record out as WARC 1.1.
 All of it is expressions on the row at hand: no shuffle, memory of one page at a time.
 
 Defined results: a null or empty payload gives an empty text and no title or links; a null target
-is left out of the headers; a null id still gives records, with ids made of what is there; repeated
-rows give repeated records; unknown columns of the input are ignored.  Character references other
-than ``ENTITIES`` stay as they are.
+is left out of the headers; a null id still gives records, with ids made of what is there; very long
+pages are converted whole; repeated rows give repeated records; links come in the order of the page,
+ties do not arise; an empty table gives none; unknown columns of the input are ignored.  Character
+references other than ``ENTITIES`` stay as they are.
 """
 
 from __future__ import annotations
@@ -52,8 +53,9 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(text, r"<[/!?a-zA-Z][^>]*>", "")
     for entity, character in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(character))
-    text = F.regexp_replace(text, r"[ \t\r\f]+", " ")
-    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
+    # Single spaces and line ends are left alone: most of a text is not rewritten.
+    text = F.regexp_replace(text, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
+    text = F.regexp_replace(text, r" \n[ \n]*|\n[ \n]+", "\n")
     return F.regexp_replace(text, r"^[ \n]+|[ \n]+\z", "")
 
 
@@ -62,9 +64,19 @@ def title_of(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(found, r"[ \t\r\n\f]+", " "), r"^ | \z", "")
 
 
+#: Fixed value: an href attribute; its value in quotes of either kind, or bare.
+HREF = r"""(?i)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
 def links_of(html: Column) -> Column:
-    """Values of quoted href attributes, in order."""
-    return F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r'(?i)\shref="([^"]*)"'), F.lit(1))
+    """Values of href attributes, in order."""
+    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(HREF), F.lit(1))
+
+    def bare(value: Column) -> Column:
+        quoted = value.startswith('"') | value.startswith("'")
+        return F.when(quoted, F.substring(value, F.lit(2), F.char_length(value) - 2)).otherwise(value)
+
+    return F.transform(found, bare)
 
 
 def responses_from_pages(pages: DataFrame, date: str = DATE) -> DataFrame:
@@ -196,6 +208,7 @@ def _oracle() -> str:
     title = "regexp_extract(payload, '(?is)<title(?:\\s[^>]*)?>(.*?)</title\\s*>', 1)"
     title = f"regexp_replace(regexp_replace({title}, '[ \\t\\r\\n\\f]+', ' ', 'g'), '^ | \\z', '', 'g')"
     crlf = "chr(13) || chr(10)"
+    href = HREF.replace("'", "''")
     return f"""
 WITH responses AS (
   SELECT page_id, url AS target_uri, coalesce(html, '') AS payload,
@@ -219,7 +232,8 @@ WITH responses AS (
         'Content-Length': CAST(strlen(block) AS VARCHAR)}},
       http_headers: string_split(rtrim(http, {crlf}), {crlf}),
       title: {title},
-      links: regexp_extract_all(payload, '(?i)\\shref="([^"]*)"', 1)}}) AS VARCHAR) AS block
+      links: list_transform(regexp_extract_all(payload, '{href}', 1), lambda x:
+        CASE WHEN x[1] IN ('"', chr(39)) THEN x[2:len(x) - 1] ELSE x END)}}) AS VARCHAR) AS block
   FROM blocks
   UNION ALL
   SELECT page_id, 'conversion', conversion_id, refers_to, metadata_id, target_uri,

@@ -103,6 +103,19 @@ def test_derivatives(spark):
     assert text[2] == text[3] == text[None] == ""
 
 
+def test_links_in_any_quotes(spark):
+    html = """<a href="/a b">x</a><A HREF='/c"d'>y</A><a class=z href=/e>z</a><a\thref = "/f"><a href=""><b xhref="no">"""
+    found = pages(spark, [(1, "http://a/", html)]).select(warc.links_of(F.col("html")).alias("links")).first()[0]
+    assert found == ["/a b", '/c"d', "/e", "/f", ""]
+
+
+def test_very_long_pages(spark):
+    html = "<p>" + "word  &amp; \t word\n\n" * 100_000 + "</p>"
+    records = warc.derive(warc.responses_from_pages(pages(spark, [(1, "http://a/", html)]))).collect()
+    text = next(r["block"] for r in records if r["warc_type"] == "conversion")
+    assert text == "\n".join(["word & word"] * 100_000)
+
+
 def test_records_as_text(spark):
     records = warc.record_text(warc.derive(warc.responses_from_pages(pages(spark, [(1, "http://a/", HTML)]))))
     for r in records.collect():
