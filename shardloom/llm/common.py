@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +73,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release_memory() -> None:
+    """Give what a task has freed back to the system: its worker process lives on, with other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: what sizes of groups are derived from."""
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -15,7 +15,9 @@ Words are runs of letters, lower-cased; longer words are cut every ``LONGEST`` l
 that the vocabulary lacks is a piece of its own kind.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so is everything
-if nothing could be learned; rows without a language teach nothing; ties go to the smaller name.
+if nothing could be learned; rows without a language teach nothing; very long texts are scored whole;
+repeated rows are scored each; ties go to the smaller name; an empty table gives an empty result.
+Letters are what ``str.isalpha`` says.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,14 +25,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import Query, columns_of, cut, fold, read
+from shardloom.llm.common import Query, columns_of, cut, fold, read, release_memory
 from shardloom.llm.grams import mix
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -45,7 +46,7 @@ LONGEST = 24
 #: Documents of a language that are learned from, about; rounds of learning; words a task keeps.
 PER_LANGUAGE = 4_000
 ROUNDS = 4
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 #: Added to each piece's expected count.
 SMOOTHING = 0.05
@@ -64,10 +65,18 @@ def vocabulary(path: str = VOCABULARY) -> dict[str, int]:
     return {piece: i for i, piece in enumerate(piece for piece in normal if len(piece) <= PIECE)}
 
 
+def _letter_runs(text: str) -> list[str]:
+    """Runs of letters; numbers that are no digits (²) are none."""
+    found = LETTERS.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return "".join(c if c.isalpha() else " " for c in text).split()
+
+
 def words_of(text: str) -> list[str]:
     """Words of a text, each with a mark at its start; parts of long words have none."""
     words = []
-    for word in LETTERS.findall(text.lower()):
+    for word in _letter_runs(text.lower()):
         if len(word) <= LONGEST:
             words.append(WORD_START + word)
         else:
@@ -190,11 +199,6 @@ class Model:
     def __init__(self, languages: list[str], pieces: Pieces, p: np.ndarray) -> None:
         self.languages, self.pieces, self.p = languages, pieces, p
 
-    @cached_property
-    def predict(self):
-        """One predictor for all tasks of a worker process."""
-        return self.predictor()
-
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Logarithms of the probabilities: words by languages."""
         lattice = Lattice(words, self.pieces)
@@ -299,12 +303,14 @@ def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = sent.value.predict
+        known = sent.value.predictor()  # freed with the task: workers live on
         for batch in batches:
             rows: list[tuple[str, float]] = []
             for i in range(0, len(batch), 200):
                 rows += known([x if isinstance(x, str) else None for x in batch.iloc[i : i + 200]])
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
+        del known
+        release_memory()
 
     return predict(text)
 

@@ -9,8 +9,9 @@ make the next group.  A hot source only has more groups.  So a source misses its
 rounding of one document.
 
 Defined results: a null source is a source of its own; a text without words (or null) has size 0
-and takes 0; repeated rows are rounded each for itself; an empty table gives an empty result.
-Draws are hashes, so reruns agree.
+and takes 0; very long texts count with all words; repeated rows are rounded each for itself; ties
+between equal rows are broken by their number, so that which of them takes more does not matter; an empty
+table gives an empty result.  Draws are hashes, so reruns agree.  Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,8 +17,9 @@ components only, and only if the rare shingles of their sets leave them a chance
 verified too, so components are those of all links.
 
 Defined results: null and empty texts, and those without words, have no shingles and no links; texts
-with fewer words than a shingle are one shingle; repeated rows are rows of one node; rows without an
-id have no component but link like others; an empty table gives an empty result.  Sets are compared
+with fewer words than a shingle are one shingle; very long texts are compared whole; repeated rows are
+rows of one node; rows without an id link like others and have the component's id, which is null if no row
+of it has one; ties go to the smallest id; an empty table gives an empty result.  Sets are compared
 as 64-bit hashes of shingles.  Other columns are ignored.
 """
 
@@ -32,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import Query, columns_of, cut, read, small
+from shardloom.llm.common import Query, columns_of, cut, read, release_memory, small
 from shardloom.llm.components import components
 from shardloom.llm.grams import mix, run_hashes, word_bounds, word_hashes
 
@@ -104,6 +105,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
             out["doc_id"] = out["doc_id"].astype("Int64")
             out.insert(1, "text_hash", batch["text_hash"].to_numpy())
             yield out
+        release_memory()
 
     return _keyed(docs).mapInPandas(
         sketched, "doc_id long, text_hash long, n_shingles long, node long, signature binary"
@@ -196,6 +198,7 @@ def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> D
                     done.add(node)
                     rows.append((node, found.tobytes()))
             yield pd.DataFrame(rows, columns=["node", "set"])
+        release_memory()
 
     return cut(
         _meeting(_keyed(docs), keys)
@@ -263,8 +266,9 @@ def verify(
 
 def link(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT
-) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, text_hash, n_shingles, node)`` of every row, and ``(node, root)`` of linked nodes."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(doc_id, text_hash, n_shingles, node)`` of every row, its distinct nodes each with its smallest id
+    and a text of that id, and ``(node, root)`` of linked nodes."""
     distance = distance_for(percent)
     rows = cut(sketch(docs, words))
     nodes = cut(
@@ -314,26 +318,57 @@ def link(
         _meeting_across(open_nodes, nodes, docs, words, percent).join(first, ["a", "b"], "left_anti")
     )
     more = verify(across, nodes, docs, words, percent, distance)
-    return rows, components(links.unionByName(more))
+    return rows, nodes, cut(components(links.unionByName(more)))
+
+
+def _representatives(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(node, first_id, first_hash)``: the row that stands for the component of each node.
+
+    It is the one with the smallest id, rows without one last.  There is one row per node here, whatever
+    number of rows a node or a component has.
+    """
+    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    named = rooted.select("node", "root").join(rooted.groupBy("root").agg(first), "root")
+    return named.select("node", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+
+
+def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with shingles and what stands for their components, and rows without shingles."""
+    rows, nodes, roots = link(docs, words, percent)
+    linked = rows.where(F.col("node").isNotNull())
+    return linked.join(small(_representatives(nodes, roots)), "node"), rows.where(F.col("node").isNull())
 
 
 def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every row."""
-    rows, roots = link(docs, words, percent)
-    roots = cut(roots)
-    rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    firsts = rooted.where(F.col("node").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("first_id"))
-    named = rooted.join(firsts, "root", "left")
+    linked, alone = _named(docs, words, percent)
     component = F.coalesce("first_id", "doc_id").alias("component_id")
-    return named.select("doc_id", "n_shingles", component).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    every = linked.select("doc_id", "n_shingles", component).unionByName(
+        alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     )
+    return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates: that with the smallest id."""
-    gone = small(cluster(docs, words, percent).where("NOT kept").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(columns_of(docs))
+    """``docs`` with one row of each group of near duplicates: that with the smallest id.
+
+    Rows are judged by id and text: other texts of the same id stay, rows without an id come last in
+    their group, and of equal rows of one id and text one stays (the smallest by a hash of its columns).
+    """
+    linked, _ = _named(docs, words, percent)
+    own = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    same_row = (F.col("__id").eqNullSafe(F.col("doc_id").cast("bigint"))) & (F.xxhash64("text") == F.col("__hash"))
+    gone = small(linked.where(~first).select(*own).distinct())
+    left = docs.join(gone, same_row, "left_anti")
+    again = small(linked.where(first).groupBy(*own).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1"))
+    # Only rows that repeat an id and a text are compared with each other, one per map task.
+    equal = left.join(again, same_row, "left_semi")
+    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*columns_of(docs)))
+    one = equal.withColumn("__place", F.row_number().over(order)).where(F.col("__place") == 1)
+    single = left.join(again, same_row, "left_anti").select(columns_of(docs))
+    return single.unionByName(one.select(columns_of(docs)))
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

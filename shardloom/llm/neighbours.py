@@ -18,7 +18,8 @@ and its queries visit each, so a hot bucket is no hot task.
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, neither do rows without an id; shorter vectors count as filled up with zeros; of repeated ids
 each other id is returned once, with its best score, and a vector never finds its own id; a query
-has fewer than ``k`` rows only if there are fewer other ids.  Other columns are ignored.
+has fewer than ``k`` rows only if there are fewer other ids; ties go to the smaller id; very long
+vectors are compared whole; an empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ without such a window is a literal.  A window can repeat without lying inside on
 windows across the end of each factor are looked up as well.  Words covered by windows found are
 removed.
 
-Defined results: null and empty texts have no words and nothing to remove; rows without an id count
+Defined results: null and empty texts have no words and nothing to remove; very long texts are searched
+whole; rows without an id count
 as larger than all others; rows that repeat an id are not compared with each other; an empty table
 gives an empty result.  Other columns are ignored.
 """
@@ -58,6 +59,11 @@ def _pair_names(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.unique(pairs, return_inverse=True)[1]
 
 
+def looked_up(places: np.ndarray, firsts: np.ndarray, of: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Whether the windows at ``places`` are indexed for a smaller id; ``firsts`` is where they are."""
+    return owners[of[firsts]] < owners[of[places]]
+
+
 def parse(contents: list[bytes], owners: np.ndarray) -> np.ndarray:
     """Factor each phrase against those of smaller ids; a flag for each window."""
     split_up = [content.split(b" ") for content in contents]
@@ -71,10 +77,7 @@ def parse(contents: list[bytes], owners: np.ndarray) -> np.ndarray:
     places = np.flatnonzero(inside)
     first_of = np.full(int(names.max(initial=0)) + 1, -1, np.int64)
     first_of[names[places][::-1]] = places[::-1]
-    source = first_of[names]
     found = np.zeros(len(words), bool)
-    has = np.zeros(len(words), bool)
-    has[places] = owners[of[source[places]]] < owners[of[places]]
 
     at, end = begin[:-1].copy(), begin[1:]
     while True:
@@ -82,13 +85,13 @@ def parse(contents: list[bytes], owners: np.ndarray) -> np.ndarray:
         if not len(open_):
             break
         here = at[open_]
-        hit = has[here]
+        hit = looked_up(here, first_of[names[here]], of, owners)
         at[open_[~hit]] += 1
         phrase, here = open_[hit], here[hit]
         if not len(here):
             continue
         length = np.full(len(here), WINDOW, np.int64)
-        back = source[here]
+        back = first_of[names[here]]
         limit = np.minimum(end[phrase] - here, begin[of[back] + 1] - back)
         growing = np.flatnonzero(length < limit)
         while len(growing):
@@ -96,13 +99,14 @@ def parse(contents: list[bytes], owners: np.ndarray) -> np.ndarray:
             growing = growing[more]
             length[growing] += 1
             growing = growing[length[growing] < limit[growing]]
-        # Windows inside the factor, then those across its end.
+        # Windows inside the factor repeat as it does; those across its end are looked up.
         inner = length - WINDOW + 1
         step = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner)
         found[np.repeat(here, inner) + step] = True
         across = (here + inner)[:, None] + np.arange(WINDOW - 1)[None, :]
         across = across[across + WINDOW <= end[phrase][:, None]]
-        found[across] |= has[across]
+        across = across[~found[across]]
+        found[across] = looked_up(across, first_of[names[across]], of, owners)
         at[phrase] = here + length
     return found[places]
 

@@ -31,11 +31,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shardloom.llm.common import text_bytes
+from shardloom.llm.common import release_memory, text_bytes
 from shardloom.llm.grams import mix, run_hashes, sliding_min
 
 #: Bytes of text in a batch, in the share of a block, and in an array operation.
@@ -154,11 +156,12 @@ def find(
     docs: DataFrame,
     kind: Kind,
     finish: Callable[[pd.DataFrame, list[bytes], list[np.ndarray]], pd.DataFrame],
-    schema: str,
-    *columns: str,
+    schema: str | T.StructType,
+    carried: str | None = None,
 ) -> DataFrame:
-    """Apply ``finish`` to the rows of each batch (``doc_id`` and ``columns``), their texts as bytes,
-    and for each text a flag for every unit: covered by a repeated window."""
+    """Apply ``finish`` to the rows of each batch, their texts as bytes, and for each text a flag for
+    every unit: covered by a repeated window.  The column ``carried`` comes first in ``schema`` and goes
+    along as it is."""
     size = text_bytes(docs)
     n_batches = max(1, -(-size // BATCH_BYTES))
     n_buckets = max(16, -(-size // (16 * BUCKET_ANCHORS)))
@@ -170,6 +173,7 @@ def find(
         return (anchor % np.uint64(n_buckets) << np.uint64(32)) | (anchor >> np.uint64(32))
 
     def anchors(batch: pd.DataFrame) -> pd.DataFrame:
+        release_memory()  # of the batch before, or of another stage
         _, texts, _ = _ordered(batch)
         found = []
         for p in pieces(kind, texts):
@@ -197,6 +201,7 @@ def find(
         return out
 
     def shared(bucket: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         once = [np.frombuffer(x, np.uint32) for x in bucket["once"]]
         often = [np.frombuffer(x, np.uint32) for x in bucket["often"]]
         every = np.sort(np.concatenate([*once, *often]))
@@ -217,6 +222,7 @@ def find(
         empty = pd.DataFrame({"block": [], "from_batch": [], "known": [], "data": []})
         if not len(batch) or not len(answers):
             return empty
+        release_memory()
         number = int(batch["batch"].iloc[0])
         live, hot = (
             np.sort(
@@ -276,6 +282,7 @@ def find(
         return out
 
     def solve(block: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         rows = []
         contents: dict[bytes, int] = {}
         owner: list[int] = []
@@ -323,6 +330,7 @@ def find(
         return pd.DataFrame(rows, columns=["to_batch", "data"])
 
     def apply(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         ordered, texts, _ = _ordered(batch)
         covered = [np.zeros(kind.count(text) + 1, np.int32) for text in texts]
         for data in answers["data"]:
@@ -331,11 +339,18 @@ def find(
                 covered[row][last + kind.window] -= 1
         return finish(ordered, texts, [np.cumsum(x[:-1]) > 0 for x in covered])
 
+    def apply_carrying(batch: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = batch.drop_columns([carried]).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        order = _ordered(rows)[0].index.to_numpy()
+        found = apply(rows, answers.to_pandas())
+        columns = [batch.column(carried).take(pa.array(order)), *[pa.array(found[name], from_pandas=True) for name in found]]
+        return pa.table(columns, [carried, *found])
+
     batches = docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).alias("batch"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("text").cast("binary").alias("body"),
-        *columns,
+        *([] if carried is None else [carried]),
     )
     by_batch = batches.groupBy("batch")
     answers = (
@@ -349,4 +364,5 @@ def find(
         .groupBy("block")
         .applyInPandas(solve, "to_batch long, data binary")
     )
-    return by_batch.cogroup(repeated.groupBy("to_batch")).applyInPandas(apply, schema)
+    last = by_batch.cogroup(repeated.groupBy("to_batch"))
+    return last.applyInPandas(apply, schema) if carried is None else last.applyInArrow(apply_carrying, schema)

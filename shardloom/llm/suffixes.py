@@ -7,8 +7,8 @@ prefixes are ``WINDOW`` or more start with the same string, and all but those of
 repeat it.  Queues of a block lie on the task's disk beyond a fixed size, and lanes are judged one
 by one.
 
-Defined results: null texts are empty; texts shorter than a window lose nothing; rows without an id
-count as larger than all others; rows that repeat an id are not compared with each other; an empty
+Defined results: null texts are empty; texts shorter than a window lose nothing; very long texts are
+searched whole; rows without an id count as larger than all others; rows that repeat an id are not compared with each other; an empty
 table gives an empty result.  Other columns are ignored.
 """
 
@@ -95,18 +95,17 @@ def _rewrite(rows: pd.DataFrame, texts: list[bytes], covered: list[np.ndarray])
             gone = np.repeat(whole, np.diff(np.r_[first, len(data)]))
             text = data[~gone].tobytes()
         kept.append(None if body is None else text.decode("utf-8", "replace"))
-    return pd.DataFrame({"rest": rows["rest"].array, "text": pd.Series(kept, dtype=object).array, "was": [bool(t.strip()) for t in texts]})
+    return pd.DataFrame({"text": pd.Series(kept, dtype=object), "was": pd.Series([bool(t.strip()) for t in texts], dtype=bool)})
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated strings cut out of their texts (whole characters only).  Documents of
-    which nothing is left go; ``n_chars``, if there, is counted anew."""
-    others = T.StructType([field for field in docs.schema.fields if field.name != "text"])
-    packed = docs.select(
-        "doc_id", "text", F.to_json(F.struct(*columns_of(docs.drop("text")))).alias("rest")
-    )
-    found = find(packed, KIND, _rewrite, "rest string, text string, was boolean", "rest")
-    columns = {name: F.from_json("rest", others).getField(name) for name in others.names}
+    which nothing is left go; ``n_chars``, if there, is counted anew; all other columns stay as they are."""
+    others = docs.drop("text")
+    packed = docs.select("doc_id", "text", F.struct(*columns_of(others)).alias("rest"))
+    schema = T.StructType().add("rest", others.schema).add("text", T.StringType()).add("was", T.BooleanType())
+    found = find(packed, KIND, _rewrite, schema, "rest")
+    columns = {name: F.col("rest").getField(name) for name in others.columns}
     columns["text"] = F.col("text")
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType

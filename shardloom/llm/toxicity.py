@@ -13,7 +13,9 @@ own; only the lexicon (``LEXICON`` words at most) comes to the driver.
 
 Defined results: null and empty texts have all features 0 and are scored like others; documents
 without a label, or with a null one, teach nothing; without labels of both classes every score is
-the share of toxic ones (0 without any); repeated rows are scored each.
+the share of toxic ones (0 without any); very long texts are measured whole; repeated rows are scored
+each; equal features get equal scores, and a score of 0.5 counts as toxic; an empty table gives an empty
+result.  Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -138,3 +138,12 @@ def test_quality_of_odd_rows(spark, rows):
     found = as_set(quality.classify(clashing(docs)))
     assert len(found) == docs.count()
     assert all(0 <= score <= 1 and keep == (score >= 0.5) for _, _, _, score, keep in found)
+
+
+@pytest.mark.parametrize("text", ["", "Ab c\t1!", "\x1c\x1f X", "Éa ß\u2003Ⅷ日 ²"])
+def test_kinds_of_characters(text):
+    assert quality._kinds(text) == tuple(sum(map(test, text)) for test in (str.isalpha, str.isspace, str.isupper))
+
+
+def test_only_letters_have_a_language():
+    assert langid.words_of("² ½ ③ 12") == [] and langid.words_of("a²b Çé") == ["▁a", "▁b", "▁çé"]

@@ -3,7 +3,7 @@ import pytest
 
 from shardloom.llm import near_duplicates as nd
 from shardloom.llm.components import components
-from tests.llm.fixtures import as_set, clashing, documents, odd_rows
+from tests.llm.fixtures import SENTENCE, as_set, clashing, documents, odd_rows
 
 
 def by_force(rows, words, percent):
@@ -62,10 +62,21 @@ def test_one_of_each_keeps_columns(spark):
     kept = nd.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
-    assert 4 in ids and 5 not in ids
+    assert 4 in ids and 5 not in ids and None not in ids
     assert {1, 2, 3, 7, 8, 9, 10, 12} <= set(ids)
 
 
+def test_one_of_each_judges_rows_not_ids(spark):
+    clean = "a text that no other document has anything to do with at all"
+    rows = [(1, SENTENCE), (2, SENTENCE), (2, clean), (3, clean + " but"), (1, SENTENCE), (None, SENTENCE),
+            (None, "only rows without an id have this one"), (None, "only rows without an id have this one"),
+            (4, None), (4, None), (5, ""), (None, None)]
+    docs = documents(spark, [(i, text, "en", "s", None) for i, text in rows])
+    kept = as_set(nd.one_of_each(docs).select("doc_id", "text"))
+    expected = [rows[i] for i in (0, 2, 6, 8, 9, 10, 11)]
+    assert kept == sorted(expected, key=repr)
+
+
 def test_all_pairs_within_the_distance_share_a_key(spark):
     distance = nd.distance_for(85)
     rng = np.random.default_rng(1)

@@ -169,3 +169,32 @@ def test_factors_need_the_check_at_their_ends():
     windows = len(words[:16]) - 12 + len(words[10:30]) - 12
     assert flags[:windows].sum() == 0
     assert flags[windows:].tolist() == [i + 13 <= 16 or i >= 10 for i in range(18)]
+
+
+def test_other_columns_stay_as_they_are(spark):
+    text = "x" * 30 + " a passage of more than fifty bytes that two documents have, to be cut out of one "
+    rows = [(1, text + "one"), (2, text + "two"), (1 << 60, "three"), (None, "four"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "timestamp'2024-01-02 03:04:05.123456' AS at", "cast(12345678901234567890.123456789 AS decimal(38,9)) AS amount",
+        "cast('nan' AS double) AS odd", "cast(null AS int) AS nothing", "array(named_struct('a', 1, 'b', X'00FF')) AS nested",
+        "map(1, date'2024-01-01') AS days", "char_length(text) AS n_chars",
+    )
+    kept = suffixes.without_repeats(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    others = [c for c in docs.columns if c not in ("text", "n_chars", "doc_id")]
+    assert {repr(r[1:]) for r in kept.select("doc_id", *others).collect()} == {repr(r[1:]) for r in docs.select("doc_id", *others).collect()}
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, text + "one"), (2, "two"), (1 << 60, "three"), (None, "four"), (2, None)], key=repr)
+
+
+def test_windows_inside_a_factor_are_not_looked_up(monkeypatch):
+    """The answer for a long repeated passage comes out of its factor."""
+    passage = b" ".join(b"w%d" % i for i in range(1000))
+    seen = []
+    looked_up = phrases.looked_up
+    monkeypatch.setattr(phrases, "looked_up", lambda places, *rest: seen.extend(places.tolist()) or looked_up(places, *rest))
+    flags = phrases.parse([passage, b"before " + passage + b" after"], np.array([1, 2]))
+    n = 1000 - phrases.WINDOW + 1
+    assert flags.tolist() == [False] * n + [False] + [True] * n + [False]
+    of_second = [place for place in seen if place >= 1000]
+    assert len(of_second) <= 2 * phrases.WINDOW
