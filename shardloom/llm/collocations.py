@@ -5,18 +5,18 @@ f(phrase) counts the contiguous occurrences of a phrase within pieces, overlaps
 are phrases of 2 to ``LONGEST`` words with f >= ``LEAST``.
 
 1. A task writes its texts as blocks of one language each: words once with their counts, places as
-   numbers (see ``blocks``).  Words are counted over all blocks.  A phrase cannot be more frequent than
-   any of its words, so words below ``LEAST`` end a piece; the others get an id, and ids are
-   joined back to the blocks.
+   numbers (see ``blocks``).  Words are counted over all blocks; each gets an id, the most frequent the
+   smallest, and ids are joined back to the blocks.  Rare words keep theirs: to leave them out would
+   spare work on small inputs only, where most words are rare, so cost would outgrow the input.
 2. From every place a window of up to ``LONGEST`` ids begins; all phrases are prefixes of windows.  A
    block counts its windows in a HAT-trie: a shallow trie by word id over hash containers of the rest
    of the window; a container that grows too large bursts into one per next id.  When the
    trie is full, its largest subtrees are spilled whole, as sorted runs.
 3. Runs are dealt to prefix partitions and merged there, and the windows of a prefix add up to the
    count of the phrase.  The prefix that decides the partition reaches to the first word that is not
-   heavy (occurs up to ``PART_WINDOWS / HEAVY`` times), so no prefix brings more windows than that;
-   a window of heavy words only is dealt by all its words, once per run.  Counts of phrases of heavy
-   words are therefore partial and are added up by Spark.
+   heavy (occurs up to ``PART_WINDOWS / HEAVY`` times), so no prefix brings more windows than that.
+   Windows that begin alike with heavy words are thus spread; the count of such a beginning is sent for
+   itself, once per run, and meets its like in the partition of all its words.
 4. Each candidate is cut after each of its first words; both parts are candidates or words, whose
    counts are joined to it.  score = floor(1000 * a * n / (l * r)) in numbers of up to 38 digits.  The
    cut with the lowest score counts, ties go to the first.
@@ -230,23 +230,49 @@ def prefix_parts(windows: np.ndarray, parts: int) -> np.ndarray:
     return (value % np.uint64(parts)).astype(np.int64)
 
 
+def with_heavy_prefixes(windows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A sorted run in which beginnings of heavy words only stand for themselves: ``m`` heavy ids and
+    zeros are the phrase of these ids, with its count in all windows of the run."""
+    heavy, changed = np.ones(len(windows), bool), np.zeros(len(windows), bool)
+    changed[:1] = True
+    found, sums = [], []
+    for k in range(LONGEST):
+        changed[1:] |= windows[1:, k] != windows[:-1, k]
+        heavy &= windows[:, k] % 2 == 1
+        if 0 < k < LONGEST - 1:
+            at = np.flatnonzero(changed)
+            own = heavy[at]
+            prefixes = windows[at[own]].copy()
+            prefixes[:, k + 1 :] = 0
+            found.append(prefixes)
+            sums.append(np.add.reduceat(counts, at)[own] if len(at) else counts[:0])
+    # Of windows that end early, those of heavy words only are among the beginnings.
+    whole = (windows == 0).any(axis=1) & ((windows % 2 == 1) | (windows == 0)).all(axis=1)
+    return np.concatenate([windows[~whole], *found]), np.concatenate([counts[~whole], *sums])
+
+
 def packed_run(windows: np.ndarray, counts: np.ndarray) -> bytes:
-    """A sorted run, column by column."""
-    columns = np.ascontiguousarray(windows.T.astype(f"<u{windows.itemsize}"))
-    return zstandard.ZstdCompressor(level=1).compress(len(counts).to_bytes(8, "big") + columns.tobytes() + varints(counts)[0])
+    """A run, column by column, the lowest bytes of a column first."""
+    n, unit = len(counts), windows.itemsize
+    columns = np.ascontiguousarray(windows.T.astype(f"<u{unit}")).view(np.uint8).reshape(LONGEST, n, unit)
+    planes = np.ascontiguousarray(columns.transpose(0, 2, 1)).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(n.to_bytes(8, "big") + planes + varints(counts)[0])
 
 
 def unpacked_run(data: bytes, unit: int) -> tuple[np.ndarray, np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(data)
     n = int.from_bytes(data[:8], "big")
     end = 8 + n * unit * LONGEST
-    return np.frombuffer(data[8:end], f"<u{unit}").reshape(LONGEST, n).T, from_varints(data[end:])
+    planes = np.frombuffer(data[8:end], np.uint8).reshape(LONGEST, unit, n)
+    columns = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(f"<u{unit}").reshape(LONGEST, n)
+    return columns.T, from_varints(data[end:]).astype(np.int64)
 
 
 def _count(parts: int, unit: int, burst: int, full: int):
     """Runs of one block."""
 
     def dealt(windows: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        windows, counts = with_heavy_prefixes(windows, counts)
         part = prefix_parts(windows, parts)
         order = np.argsort(part, kind="stable")
         bounds = np.r_[np.flatnonzero(np.r_[True, np.diff(part[order]) != 0]), len(part)]
@@ -270,7 +296,7 @@ def _count(parts: int, unit: int, burst: int, full: int):
 
 
 def _merge(unit: int, least: int):
-    """Phrases of one prefix partition: all that are frequent, and all of heavy words only."""
+    """The frequent phrases of one prefix partition."""
 
     def merge(runs: pd.DataFrame) -> pd.DataFrame:
         found = [unpacked_run(run, unit) for run in runs["run"]]
@@ -288,12 +314,14 @@ def _merge(unit: int, least: int):
             if k == 0:
                 continue
             at = np.flatnonzero(changed)
-            total = np.add.reduceat(counts, at)
-            kept = (windows[at, k] != 0) & ((total >= least) | (heavy[at] & (k < LONGEST - 1)))
+            # Of heavy words only those rows count that stand for this phrase.
+            other = heavy & (windows[:, k + 1] != 0) if k < LONGEST - 1 else np.zeros(len(heavy), bool)
+            total = np.add.reduceat(np.where(other, 0, counts), at)
+            kept = (windows[at, k] != 0) & (total >= least)
             names = np.ascontiguousarray(windows[at[kept], : k + 1])
             grams += [row.tobytes() for row in names]
             sums.append(total[kept])
-        return pd.DataFrame({"gram": grams, "a": np.concatenate(sums)})
+        return pd.DataFrame({"gram": grams, "f": np.concatenate(sums)})
 
     return merge
 
@@ -308,12 +336,14 @@ def count_phrases(docs: DataFrame, least: int, block_words: int, part_windows: i
     langs = stored(blocks.groupBy("lang").agg(F.sum(add).alias("n")), "phrase-langs")
     uses = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("no", "use"))
     uses = uses.select("block", "lang", "no", F.col("use.words").alias("word"), F.col("use.counts").alias("n"))
-    often = with_ids(uses.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
-    total, n_ids = langs.agg(F.sum("n")).first()[0] or 0, often.count()
+    counted = uses.groupBy("lang", "word").agg(F.sum("n").alias("f"))
+    # Small ids for frequent words: most bytes of a window are zero then.
+    ranked = with_ids(counted.orderBy(F.desc("f"), "lang", "word"))
+    total, n_ids = langs.agg(F.sum("n")).first()[0] or 0, ranked.count()
     unit = 4 if n_ids < (1 << 31) - 1 else 8
     # An odd id is that of a heavy word.
     heavy = (F.col("f") > part_windows // HEAVY).cast("bigint")
-    named = often.select("lang", "word", "f", (F.col("id") * 2 + heavy).alias("id"))
+    named = ranked.select("lang", "word", "f", (F.col("id") * 2 + heavy).alias("id"))
     known = uses.join(named, ["lang", "word"]).select("block", "no", "id")
     parts = max(1, -(-total // part_windows))
     runs = (
@@ -322,13 +352,7 @@ def count_phrases(docs: DataFrame, least: int, block_words: int, part_windows: i
         .cogroup(known.groupBy("block"))
         .applyInPandas(_count(parts, unit, burst, full), "part bigint, run binary")
     )
-    phrases = (
-        runs.groupBy("part")
-        .applyInPandas(_merge(unit, least), "gram binary, a bigint")
-        .groupBy("gram")
-        .agg(F.sum("a").alias("f"))
-        .where(F.col("f") >= least)
-    )
+    phrases = runs.groupBy("part").applyInPandas(_merge(unit, least), "gram binary, f bigint")
     gram = F.unhex(F.lpad(F.hex("id"), 2 * unit, "0")).alias("gram")
     return named.select(gram, "f", "word", "lang"), stored(phrases, "phrase-counts"), langs, unit
 
