@@ -46,21 +46,22 @@ def record_id(*parts: Column) -> Column:
 def plain_text(html: Column) -> Column:
     """Text of an HTML page: a line for each block, white space collapsed.
 
-    Patterns begin with a plain character; only names ignore case, as to compare every character without
-    case takes most of the time.
+    Only names ignore case, as to compare every character without case takes most of the time.
     """
     text = F.coalesce(html, F.lit(""))
     text = F.regexp_replace(text, r"(?s)<!--.*?(?:-->|\z)", "")
     for name in NO_TEXT:
         text = F.regexp_replace(text, rf"(?s)<(?i:{name})(?:\s[^>]*)?>.*?(?:</(?i:{name})\s*>|\z)", "")
     text = F.regexp_replace(text, rf"</?(?i:{LINE_ENDS})(?:\s[^>]*)?/?>", "\n")
-    text = F.regexp_replace(text, r"<[/!?a-zA-Z][^>]*>", "")
+    text = F.regexp_replace(text, r"<[/!?a-zA-Z][^>]*+>", "")
     for entity, character in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(character))
-    # Single spaces and line ends are left alone: most of a text is not rewritten.
-    text = F.regexp_replace(text, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
-    text = F.regexp_replace(text, r" \n[ \n]*|\n[ \n]+", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+\z", "")
+    for blank in "\t\r\f":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    # Patterns begin with a plain character and do not match single blanks; the rest is plain replacement.
+    text = F.regexp_replace(text, r"  +", " ")
+    text = F.replace(F.regexp_replace(text, r"\n[ \n]+", "\n"), F.lit(" \n"), F.lit("\n"))
+    return F.btrim(text, F.lit(" \n"))
 
 
 def title_of(html: Column) -> Column:
