@@ -1,7 +1,8 @@
 """Remove repeated byte strings by suffix sorting.
 
 ``shardloom.llm.repeats`` brings all pieces that can share a ``WINDOW``-byte string to one block.  A
-block sorts the suffixes of its distinct pieces by external induced sorting
+piece that is alone with its anchor there shares no string with another one; a block sorts the suffixes
+of its other distinct pieces by external induced sorting
 (``shardloom.llm.induced``), which carries common prefixes along: suffixes in a row whose common
 prefixes are ``WINDOW`` or more start with the same string, and all but those of the smallest id
 repeat it.  Queues of a block lie on the task's disk beyond a fixed size, and lanes are judged one
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardloom.llm.common import Query, columns_of, read
-from shardloom.llm.grams import byte_hashes
+from shardloom.llm.grams import byte_hashes, run_hashes
 from shardloom.llm.induced import induced
 from shardloom.llm.repeats import Kind, Units, find
 
@@ -40,8 +41,31 @@ def split(texts: list[bytes]) -> Units:
     )
 
 
+def _met(contents: list[bytes]) -> np.ndarray:
+    """Which pieces have the anchor of another one: equal windows have equal anchors, and all windows
+    of a piece have that of the first."""
+    heads = np.frombuffer(b"".join([content[:WINDOW] for content in contents]), np.uint8)
+    runs = np.r_[run_hashes(byte_hashes(heads), RUN), np.zeros(RUN - 1, np.uint64)]
+    anchors = runs.reshape(len(contents), WINDOW)[:, : WINDOW - RUN + 1].min(axis=1)
+    _, number, times = np.unique(anchors, return_inverse=True, return_counts=True)
+    return times[number] > 1
+
+
 def judge(contents: list[bytes], owners: np.ndarray) -> np.ndarray:
     """A flag for each window of each piece: it starts in a piece of a smaller id, too."""
+    if not contents:
+        return np.zeros(0, bool)
+    met = _met(contents)
+    windows = np.array([len(content) - WINDOW + 1 for content in contents])
+    found = np.zeros(int(windows.sum()), bool)
+    if met.any():
+        pieces = [content for content, is_met in zip(contents, met, strict=True) if is_met]
+        found[np.repeat(met, windows)] = _sorted_out(pieces, owners[met])
+    return found
+
+
+def _sorted_out(contents: list[bytes], owners: np.ndarray) -> np.ndarray:
+    """The flags of ``judge``, by sorting all suffixes."""
     # 0 ends the text, 1 ends a piece, bytes follow.
     joined = np.frombuffer(b"\0".join([*contents, b""]), np.uint8)
     text = np.r_[joined.astype(np.uint16) + np.uint16(2), np.uint16(0)]
