@@ -38,11 +38,15 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNDECIDED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
+MORE = "-"
 
 #: Longest piece and longest word (longer ones are cut) in letters.
 PIECE = 16
 LONGEST = 24
 
+#: Places for marks of beginnings of pieces of a length.
+MARKS = 1 << 18
+
 #: Documents of a language that are learned from, about; rounds of learning; words a task keeps.
 PER_LANGUAGE = 4_000
 ROUNDS = 4
@@ -68,38 +72,53 @@ def vocabulary(path: str = VOCABULARY) -> dict[str, int]:
 def _letter_runs(text: str) -> list[str]:
     """Runs of letters; numbers that are no digits (²) are none."""
     found = LETTERS.findall(text)
-    if all(map(str.isalpha, found)):
+    if not found or "".join(found).isalpha():
         return found
     return "".join(c if c.isalpha() else " " for c in text).split()
 
 
+def _parts(text: str) -> list[str]:
+    """Words of a text; of a long one its parts, ``MORE`` before all but the first."""
+    runs = _letter_runs(text.lower())
+    if max(map(len, runs), default=0) <= LONGEST:
+        return runs
+    return [
+        run[i : i + LONGEST] if i == 0 else MORE + run[i : i + LONGEST]
+        for run in runs
+        for i in range(0, len(run), LONGEST)
+    ]
+
+
+def _spelled(part: str) -> str:
+    return part[1:] if part[0] == MORE else WORD_START + part
+
+
 def words_of(text: str) -> list[str]:
     """Words of a text, each with a mark at its start; parts of long words have none."""
-    words = []
-    for word in _letter_runs(text.lower()):
-        if len(word) <= LONGEST:
-            words.append(WORD_START + word)
-        else:
-            words.append(WORD_START + word[:LONGEST])
-            words += [word[i : i + LONGEST] for i in range(LONGEST, len(word), LONGEST)]
-    return words
+    return list(map(_spelled, _parts(text)))
 
 
 class Pieces:
-    """A vocabulary as sorted hashes of the pieces of each length."""
+    """A vocabulary as sorted hashes of the pieces of each length, and marks of their beginnings."""
 
     def __init__(self, numbers: dict[str, int]) -> None:
         self.size = len(numbers)
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+        self.marks = np.zeros((PIECE, MARKS), bool)
         for length in range(1, PIECE + 1):
             own = [piece for piece in numbers if len(piece) == length]
             hashes = np.zeros(len(own), np.uint64)
             codes = _codes("".join(own)).reshape(len(own), length)
             for k in range(length):
                 hashes = _longer(hashes, codes[:, k])
+                self.marks[k, hashes % np.uint64(MARKS)] = True
             order = np.argsort(hashes)
             self.tables.append((hashes[order], np.array([numbers[own[i]] for i in order], np.int64)))
 
+    def begun(self, hashes: np.ndarray, length: int) -> np.ndarray:
+        """False where no piece begins with the string that has the hash; mostly true elsewhere."""
+        return self.marks[length - 1][hashes % np.uint64(MARKS)]
+
     def find(self, hashes: np.ndarray, length: int) -> np.ndarray:
         """Number of the piece with each hash, or -1."""
         known, numbers = self.tables[length - 1]
@@ -135,6 +154,11 @@ class Lattice:
             if not len(at):
                 break
             hashes = _longer(hashes, codes[at + length - 1])
+            begun = pieces.begun(hashes, length)
+            if length == 1:
+                lone = at[~begun]
+                found.append((place[lone] + 1, word[lone], place[lone], np.full(len(lone), pieces.size)))
+            at, hashes = at[begun], hashes[begun]
             piece = pieces.find(hashes, length)
             if length == 1:
                 piece = np.where(piece < 0, pieces.size, piece)
@@ -211,16 +235,17 @@ class Model:
 
         def predict(texts: list[str | None]) -> list[tuple[str, float]]:
             nonlocal table
-            split = [words_of(text) if text else [] for text in texts]
+            split = [_parts(text) if text else [] for text in texts]
             if not self.languages:
                 return [(UNDECIDED, 0.0)] * len(texts)
             if len(index) > KEPT_WORDS:
                 index.clear()
                 table = table[:0]
-            new = list(dict.fromkeys(w for words in split for w in words if w not in index))
+            new = list(set().union(*split).difference(index))
             for i in range(0, len(new), 4_000):
-                index.update((w, len(table) + k) for k, w in enumerate(new[i : i + 4_000]))
-                table = np.concatenate([table, self.word_scores(new[i : i + 4_000])])
+                part = new[i : i + 4_000]
+                index.update(zip(part, range(len(table), len(table) + len(part)), strict=True))
+                table = np.concatenate([table, self.word_scores(list(map(_spelled, part)))])
             found = []
             for words in split:
                 if not words:
