@@ -198,3 +198,29 @@ def test_windows_inside_a_factor_are_not_looked_up(monkeypatch):
     assert flags.tolist() == [False] * n + [False] + [True] * n + [False]
     of_second = [place for place in seen if place >= 1000]
     assert len(of_second) <= 2 * phrases.WINDOW
+
+
+def test_pieces_alone_with_their_anchor_repeat_nothing():
+    """Leaving them out of the sort changes no flag; most pieces of a block need none."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(97, 123, 300, dtype=np.uint8).tobytes()
+    found = []
+    for i in range(200):
+        own = rng.integers(97, 123, 120, dtype=np.uint8).tobytes()
+        begin = int(rng.integers(0, 200))
+        found.append(own if i % 4 else own[:60] + common[begin : begin + 100] + own[60:])
+    units = [piece for i, text in enumerate(found) for piece in _cut(text, i)]
+    contents, owners = zip(*units, strict=True)
+    owners = np.array(owners)
+    met = suffixes._met(list(contents))
+    assert 0 < met.sum() < len(contents) / 2
+    flags = suffixes.judge(list(contents), owners)
+    assert flags.any()
+    assert (flags == suffixes._sorted_out(list(contents), owners)).all()
+    assert not len(suffixes.judge([], np.zeros(0, np.int64)))
+
+
+def _cut(text, owner):
+    for p in repeats.pieces(suffixes.KIND, [text]):
+        for first, last in zip(p.first.tolist(), p.last.tolist(), strict=True):
+            yield text[first : last + suffixes.WINDOW], owner
