@@ -110,6 +110,22 @@ def test_match_query_has_no_cross_join(docs):
     assert "TakeOrderedAndProject" in plan
 
 
+def test_match_query_makes_postings_once(spark, folder):
+    import __spark_entry__ as entry
+
+    texts = ["The onesen, the leaux", "verblest", "the", None, "", "other", "other"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(f"{folder}/documents.parquet")
+    best = entry.match_query(spark, folder)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "split(" not in plan
+    rows = [(r["_id"], r["_score"]) for r in best.collect()]
+    post = sl.postings(sl.with_shard(entry.documents(spark, folder), 3))
+    expected = sl.match_query(post, sl.field_stats(post), entry.QUERY_TEXT.split(), 20)
+    assert rows == [(r["_id"], r["_score"]) for r in expected.collect()]
+    assert [doc for doc, _ in rows] == ["id0", "id1", "id2"]
+
+
 def test_search_on_stored_tables(spark, folder):
     df = spark.createDataFrame(list(TEXTS.items()), "_id string, body string").withColumn("n", F.lit(1))
     mapping = {"properties": {"body": {"type": "text"}, "n": {"type": "long"}}}
