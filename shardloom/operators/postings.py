@@ -24,36 +24,40 @@ def postings(
 ) -> DataFrame:
     """``(shard, term, _id, tf, positions, doc_len)``; ``positions`` ascend from 0."""
     keys = [F.col(shard_column).alias("shard"), F.col(id_column).alias("_id")]
-    located = F.transform(
-        token_array(column(field), unicode_words),
-        lambda term, position: F.struct(term.alias("term"), position.alias("position")),
-    )
-    tokens, starts, length = F.col("__tokens"), F.col("__starts"), F.col("doc_len")
+    words, places, length = F.col("__words"), F.col("__places"), F.col("doc_len")
 
-    # Each step is a projection of its own, so that lambdas refer to a computed array instead
-    # of computing it again per element.
-    in_order = docs.select(*keys, F.sort_array(located).alias("__tokens"))
-    sized = in_order.withColumn("doc_len", F.size(tokens))
-    first_of_run = F.filter(
-        F.sequence(F.lit(0), length - 1),
-        lambda i: (i == 0) | (F.get(tokens, i)["term"] != F.get(tokens, i - 1)["term"]),
+    # Each step is a projection of its own, so that later ones refer to a computed array instead of
+    # computing it again.  Only one lambda runs per token; all else is generated code.
+    split = docs.select(*keys, token_array(column(field), unicode_words).alias("__words"))
+    sized = split.withColumn("doc_len", F.size(words)).withColumn(
+        "__places", F.when(length > 0, F.sequence(F.lit(0), length - 1))
+    )
+    located = sized.select("shard", "_id", "doc_len", F.sort_array(F.arrays_zip(words, places)).alias("__tokens"))
+    # Compared inside the pairs: a list of terms taken out of them would be made again for each token.
+    term_at = lambda i: F.get("__tokens", i)["__words"]
+    first_of_run = F.filter(F.sequence(F.lit(0), length - 1), lambda i: ~term_at(i).eqNullSafe(term_at(i - 1)))
+    marked = located.select(
+        "shard",
+        "_id",
+        "doc_len",
+        F.col("__tokens.__words").alias("__words"),
+        F.col("__tokens.__places").alias("__places"),
+        F.when(length > 0, first_of_run).alias("__start"),
+    )
+    ended = marked.withColumn(
+        "__end", F.concat(F.slice("__start", 2, F.size("__start")), F.array(length))
     )
-    marked = sized.withColumn("__starts", F.when(length > 0, first_of_run))
-    runs = F.transform(
-        starts,
-        lambda start, run: F.struct(
-            F.get(tokens, start)["term"].alias("term"),
-            F.slice(
-                tokens, start + 1, F.coalesce(F.get(starts, run + 1), length) - start
-            )["position"].alias("positions"),
-        ),
+    # The bounds of a run leave the row, its term and positions are cut out afterwards.
+    runs = ended.select(
+        "shard", "_id", "doc_len", "__words", "__places", F.explode(F.arrays_zip("__start", "__end")).alias("__run")
     )
-    return marked.select("shard", "_id", "doc_len", F.explode(runs).alias("__run")).select(
+    start, tf = F.col("__run.__start"), F.col("__run.__end") - F.col("__run.__start")
+    return runs.select(
         "shard",
-        F.col("__run.term").alias("term"),
+        F.get(words, start).alias("term"),
         "_id",
-        F.size("__run.positions").alias("tf"),
-        F.col("__run.positions").alias("positions"),
+        tf.alias("tf"),
+        F.slice(places, start + 1, tf).alias("positions"),
         "doc_len",
     )
 

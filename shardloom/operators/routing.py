@@ -57,8 +57,8 @@ def spread(
     partitions = shuffle_partitions(spark)
     turn = F.col(shard_column) * parts_per_shard(spark, num_shards) + part
     # One literal text, split once when the plan is optimized: thousands of literals take seconds.
-    keys = F.split(F.lit(" ".join(str(int_hashing_to(n)) for n in range(partitions))), " ")
-    key = F.get(keys, F.pmod(turn, F.lit(partitions))).cast("int")
+    keys = F.split(F.lit(" ".join(str(int_hashing_to(n)) for n in range(partitions))), " ").cast("array<int>")
+    key = F.get(keys, F.pmod(turn, F.lit(partitions)))
     keyed = df.withColumn("__turn", key)
     if not split:
         return keyed.repartition("__turn")
